@@ -11,30 +11,26 @@ RUPEE = "₹"
 CRORE, LAKH, THOUSAND = 10_000_000.0, 100_000.0, 1000.0
 
 
-def _one_place(value: Column) -> Column:
-    tenths = units_exact(value, 1)
-    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
-
-
-def _stepped(value: Column, steps: tuple[tuple[float, str], ...], small: Column, prefix: str) -> Column:
-    """The first step that ``value`` reaches decides divisor and suffix."""
-    text = None
-    for step, suffix in steps:
-        branch = F.concat(_one_place(value / F.lit(step)), F.lit(suffix))
-        text = F.when(value >= step, branch) if text is None else text.when(value >= step, branch)
-    return F.concat(F.lit(prefix), text.otherwise(small))
+def _stepped(value: Column, steps: tuple[tuple[float, str], ...], small: Column) -> Column:
+    """One decimal place and the suffix of the first step ``value`` reaches, or ``small`` below all of them."""
+    divisor = suffix = F
+    for step, name in steps:
+        reached = value >= step
+        divisor, suffix = divisor.when(reached, F.lit(step)), suffix.when(reached, F.lit(name))
+    tenths = units_exact(value / divisor, 10)
+    return F.coalesce(F.concat((tenths.cast("decimal(20,0)") / 10).cast("decimal(20,1)").cast("string"), suffix), small)
 
 
 def format_currency(value: Column) -> Column:
     """``₹1.2Cr``, ``₹1.2L``, ``₹1.2K`` or ``₹12``."""
     value = value.cast("double")
-    whole = units_exact(value, 0).cast("string")
-    return _stepped(value, ((CRORE, "Cr"), (LAKH, "L"), (THOUSAND, "K")), whole, RUPEE)
+    whole = units_exact(value, 1).cast("string")
+    return F.concat(F.lit(RUPEE), _stepped(value, ((CRORE, "Cr"), (LAKH, "L"), (THOUSAND, "K")), whole))
 
 
 def format_number(value: Column) -> Column:
     """``1.2L``, ``1.2K`` or the integer."""
-    return _stepped(value.cast("double"), ((LAKH, "L"), (THOUSAND, "K")), value.cast("bigint").cast("string"), "")
+    return _stepped(value.cast("double"), ((LAKH, "L"), (THOUSAND, "K")), value.cast("bigint").cast("string"))
 
 
 def short_label(text: Column, width: int = 30) -> Column:

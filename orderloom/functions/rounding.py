@@ -15,13 +15,13 @@ def round_scaled(value: Column, places: int) -> Column:
     return F.rint(value * F.lit(scale)) / F.lit(scale)
 
 
-def units_exact(value: Column, places: int) -> Column:
-    """The whole number of ``10**-places`` units nearest to the *exact* binary value of a double.
+def units_exact(value: Column, scale: Column | float) -> Column:
+    """The whole number nearest to the *exact* product of a double and a small power of ten.
 
-    ``value * 10**places`` is split in a rounded product and its exact error (both halves of the value have at
+    ``value * scale`` is split in a rounded product and its exact error (both halves of the value have at
     most 27 bits, so their products with the small scale are exact); the error settles values that look like
     ties. A true tie goes to the even neighbour. This is correctly rounded decimal output."""
-    scale = F.lit(float(10**places))
+    scale = scale if isinstance(scale, Column) else F.lit(float(scale))
     value = value.cast("double")
     spread = value * F.lit(_SPLITTER)
     high = spread - (spread - value)
@@ -36,4 +36,4 @@ def units_exact(value: Column, places: int) -> Column:
 
 def round_exact(value: Column, places: int) -> Column:
     """Correctly rounded ``value`` (see :func:`units_exact`) as a double."""
-    return units_exact(value, places).cast("double") / F.lit(float(10**places))
+    return units_exact(value, 10**places).cast("double") / F.lit(float(10**places))

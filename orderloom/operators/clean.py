@@ -65,7 +65,7 @@ def reasons(rules: Sequence[Rule]) -> Column:
 
 def tag_orders(raw: DataFrame, arrival: list[str], categories: Sequence[str] = CATEGORIES,
                extra_rules: Sequence[Rule] = (), ingested_at: Instant = None) -> DataFrame:
-    """Typed orders with ``reject_reasons`` (empty when valid) and, on rejects only, the ``raw`` text.
+    """Typed orders with ``reject_reasons`` (empty when valid) and the ``raw`` text they came from.
 
     Repeats are settled before the rules, so a bad first copy takes the good second one down with it.
     A row with ``payload`` set is one that could not be decoded."""
@@ -78,9 +78,7 @@ def tag_orders(raw: DataFrame, arrival: list[str], categories: Sequence[str] = C
     found = (F.when(F.col("raw.payload").isNotNull(), F.array(F.lit("corrupt_json")))
              .when(~F.col("_first"), F.array(F.lit("duplicate_in_batch")))
              .otherwise(reasons([*business_rules(categories), *extra_rules])))
-    return (typed.withColumn("reject_reasons", found)
-            .withColumn("raw", F.when(~_accepted(), F.col("raw")))
-            .drop("_first"))
+    return typed.withColumn("reject_reasons", found).drop("_first")
 
 
 def valid_orders(tagged: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def tag_first(df: DataFrame, keys: list[str], arrival: list[str], flag: str = "i
     ``arrival`` columns together must tell all copies of a key apart (a Kafka partition and offset, a file and a
     position). NULL keys count as one key. Rows outside ``among`` neither compete nor get the flag."""
     stamp = F.struct(*arrival)
-    names = {key: f"_first_{key}" for key in keys}
+    names = {key: f"_key_{key}" for key in keys}
     candidates = df if among is None else df.filter(among)
     firsts = (candidates
               .groupBy(*(F.col(key).alias(name) for key, name in names.items()))

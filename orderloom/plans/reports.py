@@ -91,9 +91,9 @@ RECENT_COLUMNS = ("order_id", "order_timestamp", "customer_city", "category",
 
 
 def recent_orders(orders: DataFrame, limit: int = 20) -> DataFrame:
-    """The latest orders."""
+    """The latest orders. Order ids are unique in a stored table; further ties can only be among copies."""
     return (orders.select(*RECENT_COLUMNS)
-            .orderBy(F.desc_nulls_first("order_timestamp"), "order_id")
+            .orderBy(F.desc_nulls_first("order_timestamp"), "order_id", "final_amount", "category")
             .limit(int(limit)))
 
 

@@ -66,7 +66,7 @@ def upsert_daily_summary(orders: DataFrame, path: str, dates: DataFrame | None =
 
 def stale_dates(touched: DataFrame, summary: DataFrame) -> DataFrame:
     """Days that got orders after their summary was last computed, late arrivals included."""
-    news = touched.groupBy("order_date").agg(F.max("ingested_at").alias("changed_at"))
+    news = touched.groupBy("order_date").agg(F.max("changed_at").alias("changed_at"))
     done = (summary.groupBy(F.col("summary_date").alias("done_date"))
             .agg(F.max("computed_at").alias("computed_at")))
     pending = F.col("computed_at").isNull() | (F.col("computed_at") <= F.col("changed_at"))

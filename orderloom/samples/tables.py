@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderloom.schemas import MONEY
+from orderloom.operators import enrich
+from orderloom.schemas import MONEY, ddl
 
 AS_OF = "2001-08-01 00:00:00"
 EVENTS_DAY = "2024-01-30"
@@ -18,8 +19,26 @@ CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 PAYMENTS = {"upi": ("1-URGENT",), "cards": ("2-HIGH", "3-MEDIUM"), "cash": ("5-LOW",)}
 
 
+LAYOUTS = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+                 "c_mktsegment": "string"},
+    "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int",
+             "p_retailprice": "double"},
+    "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+               "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"},
+    "lineitem": {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+                 "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+                 "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
+    "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+               "value": "double", "props": "string"},
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(ddl(LAYOUTS[name])).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _places(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
@@ -76,6 +95,7 @@ def _facts() -> dict[str, Column]:
         "tax_amount": tax, "final_amount": _money("l_extendedprice"),
         "payment_method": F.col("o_orderpriority"), "order_status": status,
         "is_first_order": F.col("o_orderkey") % 5 == 0,
+        "july_time": july_time(),
     }
 
 
@@ -90,6 +110,13 @@ ARRIVAL = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantit
            "l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber"]
 
 
+def july_time() -> Column:
+    """Order times within one month, as a store's recent business: the day from the order date, the hour from
+    the line number."""
+    return F.make_timestamp_ntz(F.lit(2001), F.lit(7), F.day("o_orderdate"), F.col("l_linenumber"), F.lit(0),
+                                F.lit(0))
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events as text, with flaws that follow from the data, and the columns of ``ARRIVAL``."""
     lines = order_lines(spark, sf_dir, _CUSTOMER | _PART | _SUPPLIER)
@@ -97,6 +124,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _facts()
     price = _money("l_extendedprice")
     status = facts["order_status"]
+    placed = F.date_format(july_time(), "yyyy-MM-dd'T'HH:mm:ss")
     text = {name: facts[name].cast("string") for name in
             ("customer_id", "product_id", "store_id", "customer_city", "customer_region", "product_name", "brand",
              "store_city", "store_region", "payment_method")}
@@ -105,9 +133,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_timestamp": F.when((quantity == 44) & (line == 1), None)
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")),
         "order_timestamp": F.when((line == 6) & (F.col("l_returnflag") == "N"), "garbage")
-        .when(F.col("l_linestatus") == "O", F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
-                                                     F.lit(".250000")))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")),
+        .when(F.col("l_linestatus") == "O", F.concat(placed, F.lit(".250000"))).otherwise(placed),
         "customer_name": F.col("c_name"),
         "customer_age": F.when(F.col("o_orderpriority") == "5-LOW", "unknown")
         .otherwise((18 + F.col("o_custkey") % 48).cast("string")),
@@ -164,11 +190,11 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+    return enrich.discount_prices(table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("name"),
         F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
         _money("p_retailprice").alias("original_price"), (F.col("p_size") * 2).alias("discount_pct"),
-        (F.col("p_size") / 9).cast("decimal(3,1)").alias("rating"), F.col("p_partkey").alias("arrival"))
+        (F.col("p_size") / 9).cast("decimal(3,1)").alias("rating"), F.col("p_partkey").alias("arrival")))
 
 
 def store_master(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,8 @@ BATCH_METRICS = {
     "batch_id": "bigint", "consumed": "bigint", "inserted": "bigint", "invalid": "bigint", "failed": "bigint",
     "finished_at": "timestamp_ntz", "ingest_batch": "string",
 }
-TOUCHED_DATES = {"order_date": "date", "ingested_at": "timestamp_ntz", "ingest_batch": "string"}
+# ``changed_at`` is taken after the orders of the batch are stored.
+TOUCHED_DATES = {"order_date": "date", "changed_at": "timestamp_ntz", "ingest_batch": "string"}
 
 # Closed vocabularies.
 CATEGORIES = ("Electronics", "Fashion", "Home & Kitchen", "Sports", "Books", "Beauty", "Toys", "Grocery")
