@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from orderloom.operators.sized import broadcast_if_small
+
 
 def absent_rows(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``incoming`` (unique by key) that ``stored`` lacks. For two sides of similar size."""
@@ -13,7 +15,7 @@ def absent_rows(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> Data
 def held_keys(incoming: DataFrame, stored: DataFrame, keys: list[str], *extra: str) -> DataFrame:
     """The part of ``stored`` whose keys occur in ``incoming``: the key columns and ``extra``.
 
-    For a small batch against a huge table: the batch's keys are the build side, so the table's key column is
-    read in place and not shuffled when the batch is small enough to broadcast, and no more rows come out than
-    the batch has keys."""
-    return stored.select(*keys, *extra).join(incoming.select(*keys), keys, "left_semi")
+    For a small, persisted batch against a huge table: within a measured size the batch's keys are broadcast, so
+    that the table's key column is read in place and not shuffled. No more rows come out than the batch has."""
+    wanted = broadcast_if_small(incoming.select(*keys))
+    return stored.select(*keys, *extra).join(wanted, keys, "left_semi")

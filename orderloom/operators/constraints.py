@@ -82,26 +82,24 @@ def split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tagged.filter(clean).drop("reject_reasons"), tagged.filter(~clean)
 
 
-def orphan_keys(orders: DataFrame, dimension: DataFrame, link: ForeignKey) -> DataFrame:
-    """Distinct values of a foreign key that its dimension lacks. Made distinct before the join, so a value
-    shared by many orders crosses the network once per task."""
+def orphan_keys(orders: DataFrame, table: str, dimension: DataFrame) -> DataFrame:
+    """Distinct foreign keys of ``orders`` that the dimension ``table`` lacks. They are made distinct before the
+    join, so a key shared by many orders crosses the network once per task."""
+    link = FOREIGN_KEYS[table]
     used = orders.select(F.col(link.column).alias(link.key)).filter(F.col(link.key).isNotNull()).distinct()
     return used.join(dimension.select(link.key), link.key, "left_anti")
 
 
-def tag_orphans(orders: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """Append ``orphan_*`` to ``reject_reasons`` of orders whose customer, product or store is unknown.
-
-    Only the missing keys are joined back. Whether they are few enough to broadcast is left to Spark, which
-    knows their size by then."""
+def tag_orphans(orders: DataFrame, lost: dict[str, DataFrame]) -> DataFrame:
+    """Append ``orphan_*`` to ``reject_reasons`` of orders with a key in ``lost``, the :func:`orphan_keys` of
+    each dimension. No key is tagged that is NULL."""
     tagged = orders if "reject_reasons" in orders.columns else tag_violations(orders, [])
     rules: list[Rule] = []
     marks: list[str] = []
-    for name, dimension in dimensions.items():
-        link = FOREIGN_KEYS[name]
-        mark = f"_lost_{name}"
-        lost = orphan_keys(orders, dimension, link).select(F.col(link.key).alias(mark))
-        tagged = tagged.join(lost, F.col(link.column) == F.col(mark), "left")
+    for table, keys in lost.items():
+        link = FOREIGN_KEYS[table]
+        mark = f"_lost_{table}"
+        tagged = tagged.join(keys.select(F.col(link.key).alias(mark)), F.col(link.column) == F.col(mark), "left")
         rules.append((link.reason, F.col(mark).isNotNull()))
         marks.append(mark)
     return tag_violations(tagged, rules).drop(*marks)

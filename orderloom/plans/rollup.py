@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions.calendar import Day, Instant, calendar_day, instant, on_day
+from orderloom.operators.dates import on_dates
 from orderloom.schemas import DAILY_SUMMARY, MONEY, SUMMARY_MEASURES
 
 # Payment methods counted apart.
@@ -42,20 +43,18 @@ def daily_summary(orders: DataFrame, upi: Sequence[str] = UPI, cards: Sequence[s
         *(measure.cast(SUMMARY_MEASURES[name]).alias(name) for name, measure in measures.items()))
 
 
-def orders_of_dates(orders: DataFrame, dates: DataFrame) -> DataFrame:
-    """Orders whose day is listed in ``dates`` (a column ``order_date``); prunes partitions at run time."""
-    if "order_date" not in orders.columns:
-        orders = orders.withColumn("order_date", F.to_date("order_timestamp"))
-    return orders.join(dates.select("order_date"), "order_date", "left_semi")
-
-
 def upsert_daily_summary(orders: DataFrame, path: str, dates: DataFrame | None = None, day: Day = None,
                          computed_at: Instant = None, **vocabulary: Sequence[str]) -> None:
     """Recompute whole days and replace their partitions; all other days stay as they are.
 
     ``dates`` lists the days to recompute, else it is the single ``day`` (today by default). Running it again
     gives the same table. Orders are never removed, so no group can vanish from a recomputed day."""
-    chosen = orders.filter(on_day(orders, day)) if dates is None else orders_of_dates(orders, dates)
+    if dates is None:
+        chosen = orders.filter(on_day(orders, day))
+    else:
+        dated = orders if "order_date" in orders.columns else orders.withColumn(
+            "order_date", F.to_date("order_timestamp"))
+        chosen = on_dates(dated, dates)
     summary = daily_summary(chosen, **vocabulary)
     (summary.withColumn("computed_at", instant(computed_at))
      .select(*DAILY_SUMMARY)

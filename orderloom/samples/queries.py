@@ -271,10 +271,12 @@ def duplicate_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orphan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = given.order_facts(spark, sf_dir, "order_id", "customer_id", "product_id", "store_id", "final_amount")
     keys = {name: F.col(name).cast("string") for name in ("customer_id", "product_id", "store_id")}
-    tagged = constraints.tag_orphans(orders.withColumns(keys), {
-        "customers": streams.accepted_customers(spark, sf_dir),
-        "products": streams.accepted_products(spark, sf_dir),
-        "stores": streams.accepted_stores(spark, sf_dir)})
+    orders = orders.withColumns(keys)
+    dimensions = {"customers": streams.accepted_customers(spark, sf_dir),
+                  "products": streams.accepted_products(spark, sf_dir),
+                  "stores": streams.accepted_stores(spark, sf_dir)}
+    tagged = constraints.tag_orphans(orders, {
+        name: constraints.orphan_keys(orders, name, dimension) for name, dimension in dimensions.items()})
     return plain(tagged.filter(F.size("reject_reasons") > 0).withColumn(
         "reject_reasons", F.array_join("reject_reasons", ",")))
 

@@ -41,21 +41,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(ddl(LAYOUTS[name])).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _places(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
-                                                  F.col("n_regionkey") == F.col("r_regionkey"))
-    return nations.select(F.col("n_nationkey").alias(f"{prefix}_place"), F.col("n_name").alias(f"{prefix}_city"),
-                          F.col("r_name").alias(f"{prefix}_region"))
+def _with_place(rows: DataFrame, spark: SparkSession, sf_dir: str, nation_key: str, prefix: str) -> DataFrame:
+    """Add city and region by nation. The tables are joined one after another: a dimension that is joined to
+    its own lookups first looks too large to Spark to be broadcast."""
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias(f"{prefix}_nation"), F.col("n_name").alias(f"{prefix}_city"),
+        F.col("n_regionkey").alias(f"{prefix}_in"))
+    regions = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias(f"{prefix}_key"), F.col("r_name").alias(f"{prefix}_region"))
+    return (rows.join(nations, F.col(nation_key) == F.col(f"{prefix}_nation"))
+            .join(regions, F.col(f"{prefix}_in") == F.col(f"{prefix}_key")))
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = _places(spark, sf_dir, "customer")
-    return table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("customer_place"))
+    return _with_place(table(spark, sf_dir, "customer"), spark, sf_dir, "c_nationkey", "customer")
 
 
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = _places(spark, sf_dir, "store")
-    return table(spark, sf_dir, "supplier").join(places, F.col("s_nationkey") == F.col("store_place"))
+    return _with_place(table(spark, sf_dir, "supplier"), spark, sf_dir, "s_nationkey", "store")
 
 
 _CUSTOMER = {"customer_city", "customer_region", "customer_name", "customer_gender"}
@@ -72,11 +75,13 @@ def order_lines(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"),
                                                   F.col("l_orderkey") == F.col("o_orderkey"))
     if wanted & _CUSTOMER:
-        lines = lines.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+        lines = lines.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        lines = _with_place(lines, spark, sf_dir, "c_nationkey", "customer")
     if wanted & _PART:
         lines = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if wanted & _SUPPLIER:
-        lines = lines.join(_suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+        lines = lines.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        lines = _with_place(lines, spark, sf_dir, "s_nationkey", "store")
     return lines
 
 

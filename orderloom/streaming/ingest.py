@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom.functions.calendar import instant
 from orderloom.operators.absent import held_keys
 from orderloom.operators.clean import rejected_orders, tag_orders, valid_orders
-from orderloom.operators.constraints import order_rules, tag_orphans
+from orderloom.operators.constraints import order_rules, orphan_keys, tag_orphans
+from orderloom.operators.dates import on_dates
+from orderloom.operators.sized import broadcast_if_small
 from orderloom.schemas import BATCH_METRICS, CATEGORIES, ddl
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources.events import decode, with_arrival
@@ -26,8 +28,6 @@ from orderloom.sources.events import decode, with_arrival
 LIVE_TRIGGER = "1 second"
 DRAIN_SECONDS = 300
 
-MAX_LISTED_DATES = 400
-
 
 @dataclass(frozen=True)
 class IngestOptions:
@@ -54,7 +54,10 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
     tagged = kept[0]
     try:
         if options.dimensions:
-            tagged = tag_orphans(tagged, {name: warehouse.read(name) for name in options.dimensions})
+            lost = {name: orphan_keys(tagged, name, warehouse.read(name)).persist(StorageLevel.MEMORY_AND_DISK)
+                    for name in options.dimensions}
+            kept.extend(lost.values())
+            tagged = tag_orphans(tagged, {name: broadcast_if_small(keys) for name, keys in lost.items()})
             kept.append(tagged.persist(StorageLevel.MEMORY_AND_DISK))
         warehouse.replace_partitions("rejects", rejected_orders(tagged).withColumn("ingest_batch", F.lit(label)))
         valid = valid_orders(tagged).withColumns(
@@ -76,7 +79,7 @@ def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: boo
     attempt at it included."""
     stored = warehouse.read("orders")
     if fixed_dates:
-        stored = _same_dates(stored, valid)
+        stored = on_dates(stored, valid)
     held = held_keys(valid, stored, ["order_id"], "ingest_batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         others = held.filter(F.col("ingest_batch") != label).count()
@@ -86,15 +89,6 @@ def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: boo
         held.unpersist()
 
 
-def _same_dates(stored: DataFrame, valid: DataFrame) -> DataFrame:
-    """Partitions of ``stored`` that a batch can meet: its dates, or their range when there are very many."""
-    dates = [row[0] for row in valid.select("order_date").distinct().limit(MAX_LISTED_DATES + 1).collect()]
-    if len(dates) <= MAX_LISTED_DATES:
-        return stored.filter(F.col("order_date").isin(dates))
-    low, high = valid.agg(F.min("order_date"), F.max("order_date")).first()
-    return stored.filter(F.col("order_date").between(low, high))
-
-
 def batch_writer(warehouse: Warehouse, options: IngestOptions = IngestOptions()) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function. Batches are labelled by the query id, which lives in the checkpoint."""
     def write(messages: DataFrame, batch_id: int) -> None:

@@ -35,9 +35,10 @@ def test_formats(spark):
 def test_orphans(spark):
     orders = spark.createDataFrame([("o1", "c1", "p1"), ("o2", "c9", "p9"), ("o3", None, "p1"), ("o4", "c9", "p1")],
                                    "order_id string, customer_id string, product_id string")
+    dimensions = {"customers": spark.createDataFrame([("c1",)], "customer_id string"),
+                  "products": spark.createDataFrame([("p1",)], "product_id string")}
     tagged = constraints.tag_orphans(orders, {
-        "customers": spark.createDataFrame([("c1",)], "customer_id string"),
-        "products": spark.createDataFrame([("p1",)], "product_id string")})
+        name: constraints.orphan_keys(orders, name, dimension) for name, dimension in dimensions.items()})
     assert {r["order_id"]: r["reject_reasons"] for r in tagged.collect()} == {
         "o1": [], "o2": ["orphan_customer", "orphan_product"], "o3": [], "o4": ["orphan_customer"]}
     assert tagged.columns == [*orders.columns, "reject_reasons"]
