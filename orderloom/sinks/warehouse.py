@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from orderloom import schemas
 from orderloom.operators.absent import held_keys
@@ -62,7 +62,20 @@ class Warehouse:
         return True
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(schemas.ddl(TABLES[table].layout)).parquet(self.path(table))
+        return self._reader(table).parquet(self.path(table))
+
+    def read_partitions(self, table: str, values: list) -> DataFrame:
+        """The rows of some partitions. Only their folders are listed, however many the table has."""
+        folders = f"{self.path(table)}/{TABLES[table].partition}={{{','.join(map(str, values))}}}"
+        try:
+            return self._reader(table).option("basePath", self.path(table)).parquet(folders)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schemas.ddl(TABLES[table].layout))
+
+    def _reader(self, table: str) -> DataFrameReader:
+        return self.spark.read.schema(schemas.ddl(TABLES[table].layout))
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows, as one commit. Rows of one partition value are brought together, and split again where one

@@ -18,7 +18,7 @@ from orderloom.functions.calendar import instant
 from orderloom.operators.absent import held_keys
 from orderloom.operators.clean import rejected_orders, tag_orders, valid_orders
 from orderloom.operators.constraints import order_rules, orphan_keys, tag_orphans
-from orderloom.operators.dates import on_dates
+from orderloom.operators.dates import listed_dates
 from orderloom.operators.sized import broadcast_if_small
 from orderloom.schemas import BATCH_METRICS, CATEGORIES, ddl
 from orderloom.sinks.warehouse import Warehouse
@@ -77,9 +77,8 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
 def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: bool) -> int:
     """Append the orders that are not stored yet. Returns how many this batch has stored, those of an earlier
     attempt at it included."""
-    stored = warehouse.read("orders")
-    if fixed_dates:
-        stored = on_dates(stored, valid)
+    dates = listed_dates(valid) if fixed_dates else None
+    stored = warehouse.read("orders") if dates is None else warehouse.read_partitions("orders", dates)
     held = held_keys(valid, stored, ["order_id"], "ingest_batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         others = held.filter(F.col("ingest_batch") != label).count()
