@@ -402,9 +402,7 @@ def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "hourly")
     warehouse = Warehouse(spark, f"{root}/warehouse").create()
     streams.load_masters(spark, sf_dir, warehouse)
-    messages = streams.event_messages(spark, sf_dir)
-    for wave in range(len(streams.WAVES) - 1):
-        streams.land_wave(messages, wave, f"{root}/landing")
+    for _ in streams.arriving_waves(spark, sf_dir, f"{root}/landing"):
         run_hourly(landed_orders(spark, f"{root}/landing", by_name=True), warehouse, f"{root}/checkpoint",
                    given.AS_OF, streams.OPTIONS, dates="stale", seconds=None, **given.PAYMENTS)
     return plain(warehouse.read("daily_summary").select(*SUMMARY_KEYS, *SUMMARY_MEASURES))

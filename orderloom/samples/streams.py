@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.operators import constraints
@@ -25,12 +29,18 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cut, F.substring(value, 1, 20)).otherwise(value).alias("value"), *given.ARRIVAL)
 
 
-def land_wave(messages: DataFrame, wave: int, path: str) -> None:
-    """Write one wave in arrival order; the parts of a sorted write are named in order too."""
-    inside = (F.col("l_shipdate") >= F.lit(WAVES[wave]).cast("timestamp_ntz")) & \
-        (F.col("l_shipdate") < F.lit(WAVES[wave + 1]).cast("timestamp_ntz"))
-    (messages.filter(inside).repartitionByRange(*given.ARRIVAL).sortWithinPartitions(*given.ARRIVAL)
-     .select("value").write.mode("append").text(path))
+def arriving_waves(spark: SparkSession, sf_dir: str, path: str) -> Iterator[int]:
+    """Land one wave after another, each in arrival order: the parts of a sorted write are named in order too."""
+    messages = event_messages(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for wave, (start, end) in enumerate(pairwise(WAVES)):
+            shipped = F.col("l_shipdate")
+            inside = (shipped >= F.lit(start).cast("timestamp_ntz")) & (shipped < F.lit(end).cast("timestamp_ntz"))
+            (messages.filter(inside).repartitionByRange(*given.ARRIVAL).sortWithinPartitions(*given.ARRIVAL)
+             .select("value").write.mode("append").text(path))
+            yield wave
+    finally:
+        messages.unpersist()
 
 
 def accepted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +71,6 @@ def ingest_waves(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
     root = shared_folder(spark, "stream")
     warehouse, landing = Warehouse(spark, f"{root}/warehouse").create(), f"{root}/landing"
     load_masters(spark, sf_dir, warehouse)
-    messages = event_messages(spark, sf_dir)
-    for wave in range(len(WAVES) - 1):
-        land_wave(messages, wave, landing)
+    for _ in arriving_waves(spark, sf_dir, landing):
         drain(landed_orders(spark, landing, by_name=True), warehouse, f"{root}/checkpoint", OPTIONS, seconds=None)
     return warehouse, landing

@@ -62,11 +62,12 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
         warehouse.replace_partitions("rejects", rejected_orders(tagged).withColumn("ingest_batch", F.lit(label)))
         valid = valid_orders(tagged).withColumns(
             {"ingest_batch": F.lit(label), "order_date": F.to_date("order_timestamp")})
-        inserted = _insert(warehouse, valid, label, options.fixed_dates)
+        held = _insert(warehouse, valid, label, options.fixed_dates)
         touched = valid.select("order_date", "ingest_batch").distinct()
         warehouse.replace_partitions("touched_dates", touched.withColumn("changed_at", instant(utc_now())))
         counts = tagged.agg(F.count("*").alias("consumed"),
                             F.count_if(F.size("reject_reasons") > 0).alias("invalid")).first()
+        inserted = counts["consumed"] - counts["invalid"] - held
         metrics = [(batch_id, counts["consumed"], inserted, counts["invalid"], 0, now, label)]
         warehouse.replace_partitions("batch_metrics", warehouse.spark.createDataFrame(metrics, ddl(BATCH_METRICS)))
     finally:
@@ -75,15 +76,14 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
 
 
 def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: bool) -> int:
-    """Append the orders that are not stored yet. Returns how many this batch has stored, those of an earlier
-    attempt at it included."""
+    """Append the orders that are not stored yet. Returns how many were stored before by other batches; those
+    of an earlier attempt at this one are its own."""
     dates = listed_dates(valid) if fixed_dates else None
     stored = warehouse.read("orders") if dates is None else warehouse.read_partitions("orders", dates)
     held = held_keys(valid, stored, ["order_id"], "ingest_batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        others = held.filter(F.col("ingest_batch") != label).count()
         warehouse.append("orders", valid.join(held, "order_id", "left_anti"))
-        return valid.count() - others
+        return held.filter(F.col("ingest_batch") != label).count()
     finally:
         held.unpersist()
 
