@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions.calendar import Instant, instant
+from orderloom.operators.dates import on_dates
 from orderloom.plans.quality import assert_dq
 from orderloom.plans.rollup import stale_dates, summary_check, upsert_daily_summary
 from orderloom.sinks.warehouse import Warehouse
@@ -19,17 +20,18 @@ def run_hourly(messages: DataFrame, warehouse: Warehouse, checkpoint: str, as_of
     """Run once and return one row of figures. A failed quality check raises before the rollup.
 
     ``dates`` is ``today`` (the day of ``as_of`` only) or ``stale`` (every day that got orders since its last
-    summary, so that late orders are counted too)."""
+    summary, so that late orders are counted too). A day stays stale until it is rolled up, so the quality checks
+    can be confined to stale days: orders that fail them are met again on the next run."""
     if dates not in ("today", "stale"):
         raise ValueError(f"dates must be 'today' or 'stale', not {dates!r}")
     began = utc_now()
     drain(messages, warehouse, checkpoint, options, seconds)
     read_at = utc_now()
     orders = warehouse.read("orders")
-    assert_dq(orders, as_of)
-    today = instant(as_of).cast("date")
     chosen = stale_dates(warehouse.read("touched_dates"), warehouse.read("daily_summary")) \
         if dates == "stale" else None
+    assert_dq(orders, as_of, on_dates(orders, chosen) if chosen is not None else None)
+    today = instant(as_of).cast("date")
     upsert_daily_summary(orders, warehouse.path("daily_summary"), chosen, today, read_at, **vocabulary)
     ingested = (warehouse.read("batch_metrics").filter(F.col("finished_at") >= instant(began))
                 .agg(F.coalesce(F.sum("consumed"), F.lit(0)).alias("consumed"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions import display
-from orderloom.functions.calendar import Day, Instant, on_day, trailing_days
+from orderloom.functions.calendar import Day, Instant, instant, on_day, trailing_days
 from orderloom.schemas import MONEY, NON_REVENUE_STATUSES
 
 
@@ -90,16 +90,23 @@ RECENT_COLUMNS = ("order_id", "order_timestamp", "customer_city", "category",
                   "final_amount", "payment_method", "order_status")
 
 
-def recent_orders(orders: DataFrame, limit: int = 20) -> DataFrame:
-    """The latest orders. Order ids are unique in a stored table; further ties can only be among copies."""
+def recent_orders(orders: DataFrame, limit: int = 20, as_of: Instant = None, days: int = 7) -> DataFrame:
+    """The latest orders. Order ids are unique in a stored table; further ties can only be among copies.
+
+    In a table partitioned by date the partitions since ``days`` before ``as_of`` are tried first: when they hold
+    ``limit`` orders, no older one can be among the latest. Otherwise the whole table is read."""
+    if "order_date" in orders.columns:
+        newest = orders.filter(F.col("order_date") >= F.date_sub(instant(as_of).cast("date"), days))
+        if newest.limit(int(limit)).count() == int(limit):
+            orders = newest
     return (orders.select(*RECENT_COLUMNS)
             .orderBy(F.desc_nulls_first("order_timestamp"), "order_id", "final_amount", "category")
             .limit(int(limit)))
 
 
-def recent_orders_display(orders: DataFrame, limit: int = 15) -> DataFrame:
+def recent_orders_display(orders: DataFrame, limit: int = 15, as_of: Instant = None) -> DataFrame:
     """The live feed: latest orders with shortened ids, formatted amounts and times, and display headings."""
-    shown = recent_orders(orders, limit)
+    shown = recent_orders(orders, limit, as_of)
     return (shown.withColumns({
         "order_id": display.short_id(F.col("order_id")),
         "final_amount": display.format_amount(F.col("final_amount")),

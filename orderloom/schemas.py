@@ -38,6 +38,8 @@ STORES = {
     "store_id": "string", "store_name": "string", "city": "string", "region": "string",
     "store_type": "string", "created_at": "timestamp_ntz",
 }
+# Master columns that are not loaded but stamped with the time of the load.
+STAMPED = {"customers": ("updated_at",), "products": ("created_at", "updated_at"), "stores": ("created_at",)}
 # The 26 columns an order is loaded with.
 ORDER_COLUMNS = {
     "order_id": "string", "order_timestamp": "timestamp_ntz", "event_timestamp": "timestamp_ntz",

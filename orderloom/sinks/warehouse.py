@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from orderloom import schemas
 from orderloom.operators.absent import held_keys
+from orderloom.operators.constraints import with_defaults
 from orderloom.operators.firsts import keep_first
 
 
@@ -97,8 +98,11 @@ class Warehouse:
 
 def insert_if_absent(warehouse: Warehouse, table: str, rows: DataFrame, key: str,
                      arrival: list[str]) -> int:
-    """Add the rows whose key the table lacks; the first copy of a key wins. Returns the number added."""
+    """Add the rows whose key the table lacks; the first copy of a key wins. Returns the number added.
+
+    Columns the rows do not have get the table's defaults, or NULL."""
     layout = TABLES[table].layout
+    rows = with_defaults(rows.drop(*schemas.STAMPED.get(table, ())), table)
     for name in set(layout) - set(rows.columns):
         rows = rows.withColumn(name, F.lit(None).cast(layout[name]))
     fresh = keep_first(rows, [key], arrival).persist(StorageLevel.MEMORY_AND_DISK)

@@ -88,9 +88,18 @@ def test_insert_if_absent_keeps_the_first_row(spark):
     warehouse = Warehouse(spark, shared_folder(spark, "t")).create()
     first = spark.createDataFrame([("s1", "old", 2), ("s1", "older", 1), ("s2", "two", 3)],
                                   "store_id string, store_name string, seq int")
-    second = spark.createDataFrame([("s1", "new", 1), ("s3", "three", 2)], first.schema)
+    second = spark.createDataFrame([("s1", "new", 1), ("s3", "three", 2)], first.schema).withColumn(
+        "created_at", F.lit("2001-01-01 00:00:00").cast("timestamp_ntz"))
     assert insert_if_absent(warehouse, "stores", first, "store_id", ["seq"]) == 2
     assert insert_if_absent(warehouse, "stores", second, "store_id", ["seq"]) == 1
     assert insert_if_absent(warehouse, "stores", second, "store_id", ["seq"]) == 0
     assert {(r["store_id"], r["store_name"]) for r in warehouse.read("stores").collect()} == {
         ("s1", "older"), ("s2", "two"), ("s3", "three")}
+    assert warehouse.read("stores").filter("created_at > timestamp_ntz '2020-01-01 00:00:00'").count() == 3
+
+
+def test_products_get_their_defaults(spark):
+    warehouse = Warehouse(spark, shared_folder(spark, "t")).create()
+    insert_if_absent(warehouse, "products", spark.sql("select 'p1' as product_id, 1 as seq"), "product_id", ["seq"])
+    row = warehouse.read("products").first()
+    assert row["stock_quantity"] == 0 and row["created_at"] is not None and row["name"] is None

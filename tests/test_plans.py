@@ -65,6 +65,11 @@ def test_stored_orders_are_pruned_by_date(store):
     assert re.search(r"PartitionFilters: \[.*order_date#\d+ = 2024-05-31", day)
 
 
+def test_recent_orders_read_recent_days(store):
+    text = plan(reports.recent_orders(store.read("orders"), 1, "2024-06-01 00:00:00"))
+    assert re.search(r"PartitionFilters: \[.*order_date#\d+ >= 2024-05-25", text)
+
+
 def test_a_rollup_reads_only_the_days_it_recomputes(spark, store):
     dates = spark.sql("select date '2024-04-30' as order_date")
     text = plan(rollup.daily_summary(on_dates(store.read("orders"), dates)))

@@ -86,6 +86,9 @@ def test_hours_of_a_day(spark):
 def test_recent_orders(spark):
     orders = orders_of(spark, *({"order_timestamp": dt.datetime(2024, 5, 1, i)} for i in range(24)))
     assert [r[0] for r in rows(reports.recent_orders(orders, 3))] == ["o023", "o022", "o021"]
+    for as_of in (AS_OF, "2024-05-03 00:00:00", "2030-01-01 00:00:00"):
+        assert [r[0] for r in rows(reports.recent_orders(orders, 30, as_of))] == [f"o{i:03d}" for i in range(23, -1, -1)]
+        assert [r[0] for r in rows(reports.recent_orders(orders, 3, as_of))] == ["o023", "o022", "o021"]
     shown = reports.recent_orders_display(orders.withColumn("order_id", F.lit("123456789")), 1).first()
     assert shown.asDict() == {"Order ID": "12345678...", "Time": "01 May 23:00", "City": "Pune", "Category": "Books",
                               "Amount": "₹10.00", "Payment": "UPI", "Status": "Placed"}
@@ -111,6 +114,8 @@ def test_quality_checks(spark):
                     {"order_timestamp": dt.datetime(2024, 6, 1, 12, 0, 1)}, {"order_status": "Cancelled"})
     assert failed(quality.run_dq(bad, AS_OF)) == {
         "null_order_ids": 1.0, "negative_amounts": 1.0, "future_orders": 1.0, "cancellation_rate": 50.0}
+    assert sorted(rows(quality.run_dq(bad, AS_OF, changed=bad))) == sorted(rows(quality.run_dq(bad, AS_OF)))
+    assert failed(quality.run_dq(bad, AS_OF, changed=bad.limit(0))) == {"cancellation_rate": 50.0}
     with pytest.raises(quality.QualityError, match="null_order_ids.*cancellation_rate"):
         quality.assert_dq(bad, AS_OF)
 
