@@ -82,8 +82,9 @@ def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: boo
     stored = warehouse.read("orders") if dates is None else warehouse.read_partitions("orders", dates)
     held = held_keys(valid, stored, ["order_id"], "ingest_batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        others = held.filter(F.col("ingest_batch") != label).count()  # a write drops what is cached of its table
         warehouse.append("orders", valid.join(held, "order_id", "left_anti"))
-        return held.filter(F.col("ingest_batch") != label).count()
+        return others
     finally:
         held.unpersist()
 
