@@ -8,6 +8,8 @@ leave the order. All of it is DataFrame operations; the driver sees block summar
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from orderloom.llm.common import settle, table
@@ -18,6 +20,11 @@ CANDIDATES = 1023
 SLICES = 1024
 
 
+def listed(spark: SparkSession, values) -> DataFrame:
+    """(pos, value): a few strings without commas as rows, planned as one literal."""
+    return spark.range(1).select(F.posexplode(F.split(F.lit(",".join(values)), ",")).alias("pos", "value"))
+
+
 class Totals:
     """Ends of groups along the order (cumulated bytes), looked up for many targets in one job."""
 
@@ -31,7 +38,8 @@ class Totals:
         self.blocks = sorted(self.low)
 
     def _within(self, targets: list[int], below: bool) -> dict[int, int]:
-        known = self.spark.createDataFrame([(t, t // self.width) for t in sorted(set(targets))], "target long, block long")
+        known = listed(self.spark, map(str, sorted(set(targets)))).select(
+            F.col("value").cast("bigint").alias("target"), F.expr(f"cast(value as bigint) div {self.width}L").alias("block"))
         fits = F.col("end") <= F.col("target") if below else F.col("end") >= F.col("target")
         best = F.max("end") if below else F.min("end")
         found = self.ends.join(F.broadcast(known), "block").where(fits).groupBy("target").agg(best.alias("end"))
@@ -39,7 +47,6 @@ class Totals:
 
     def below(self, targets: list[int]) -> list[int]:
         """Largest end (or 0) not above each target."""
-        import bisect
         near = self._within(targets, True)
         out = []
         for t in targets:
@@ -51,7 +58,6 @@ class Totals:
 
     def above(self, target: int) -> int:
         """Smallest end not below the target; 0 if the target is 0 or less."""
-        import bisect
         if target <= 0:
             return 0
         near = self._within([target], False)
@@ -148,8 +154,8 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     starts = placed.groupBy("shard").agg(F.min("rank").alias("start"))
     placed = placed.join(F.broadcast(starts), "shard").select("key", "shard", (F.col("rank") - F.col("start")).alias("rank"))
     if heavy:
-        own = spark.createDataFrame([(k, left + i) for i, k in enumerate(heavy)], "key string, shard int")
-        placed = placed.union(own.select("key", "shard", F.lit(0).cast("bigint").alias("rank")))
+        placed = placed.union(listed(spark, heavy).select(
+            F.col("value").alias("key"), (F.col("pos") + left).alias("shard"), F.lit(0).cast("bigint").alias("rank")))
     earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.join(placed, "key").select(
         "key", "slice", "shard", (F.col("rank") + F.coalesce(F.sum("rows").over(earlier), F.lit(0))).alias("rank"))
