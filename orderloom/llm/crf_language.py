@@ -34,6 +34,7 @@ _CLASSES[48:58] = ord("0")
 _CLASSES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _BORDER
 _CLASSES[ord("A"):ord("Z") + 1] += 32
 _LETTER = r"\p{L}"
+_TEXT = "text to label"
 
 
 def _hashed(kind: int, code: np.ndarray) -> np.ndarray:
@@ -235,8 +236,9 @@ def training_sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     return found.dropDuplicates(["lang", "h"]).select("text", "lang")
 
 
-def label_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """(doc_id, lang_pred, score, runs) for each row of ``docs`` (doc_id, text); learned from ``training`` (text, lang).
+def label_documents(docs: DataFrame, training: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` with lang_pred, score and runs for each row of ``docs`` (``keep`` and text); learned from
+    ``training`` (text, lang).
 
     ``runs`` are the stretches of words with one most probable label, in order; ``lang_pred`` has the largest mean
     probability over the words (ties: the smaller name), ``score`` is that mean. A null text, one without a letter, or
@@ -244,14 +246,15 @@ def label_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
     in; an empty table gives an empty result."""
     sample = sorted(map(tuple, training_sample(training).collect()))
     model = docs.sparkSession.sparkContext.broadcast(fit([t for t, _ in sample], [x for _, x in sample]))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(*keep, F.col("text").cast("string").alias(_TEXT))
+    schema = "".join(f"`{name}` {docs.schema[name].dataType.simpleString()}, " for name in keep)
 
     def run(batches):
         own = model.value
         names = np.array([*own.labels, "und"], dtype=object)
         for batch in batches:
-            for part in text_slices(batch):
-                texts = part.column("text")
+            for part in text_slices(batch, _TEXT):
+                texts = part.column(_TEXT)
                 data, offsets = text_bytes(texts)
                 words, bounds = word_hashes(data, offsets)
                 chances = own.posteriors(own.emissions(*features(data, offsets), own.lexical(words)), bounds) \
@@ -279,11 +282,10 @@ def label_documents(docs: DataFrame, training: DataFrame) -> DataFrame:
                 runs = pa.ListArray.from_arrays(pa.array(lists), pa.StructArray.from_arrays(
                     [pa.array(names[label[starts]].tolist(), pa.string()), pa.array(lengths, pa.int64())], ["lang", "words"]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(names[best].tolist(), pa.string()), pa.array(score), runs],
-                    names=["doc_id", "lang_pred", "score", "runs"])
+                    [*(part.column(i) for i in range(len(keep))), pa.array(names[best].tolist(), pa.string()),
+                     pa.array(score), runs], names=[*keep, "lang_pred", "score", "runs"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, lang_pred string, score double, runs array<struct<lang: string, words: bigint>>")
+    return rows.mapInArrow(run, schema + "lang_pred string, score double, runs array<struct<lang: string, words: bigint>>")
 
 
 def remainder(doc_id="doc_id"):
