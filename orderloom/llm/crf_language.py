@@ -275,9 +275,9 @@ def label_documents(docs: DataFrame, training: DataFrame, keep: tuple[str, ...]
                 cut[1:-1] |= label[1:] != label[:-1]
                 cut[-1:] = True
                 starts = np.flatnonzero(cut[:-1])
-                keep = np.repeat(known, np.diff(bounds))[starts] if len(words) else np.zeros(0, dtype=bool)
-                lengths = np.diff(np.concatenate([starts, [len(words)]]))[keep] if len(starts) else np.zeros(0, dtype=int)
-                starts = starts[keep]
+                shown = np.repeat(known, np.diff(bounds))[starts] if len(words) else np.zeros(0, dtype=bool)
+                lengths = np.diff(np.concatenate([starts, [len(words)]]))[shown] if len(starts) else np.zeros(0, dtype=int)
+                starts = starts[shown]
                 lists = np.searchsorted(starts, bounds).astype(np.int32)
                 runs = pa.ListArray.from_arrays(pa.array(lists), pa.StructArray.from_arrays(
                     [pa.array(names[label[starts]].tolist(), pa.string()), pa.array(lengths, pa.int64())], ["lang", "words"]))
