@@ -9,7 +9,9 @@ shard are laid in windows of powers of two, which need no padding."""
 from __future__ import annotations
 
 import os
+import string
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -17,15 +19,18 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import mixed, settle, table, text_slices
+from orderloom.llm.common import mixed, settle, table, text_slices, to_int64
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
 END = 1
 #: Tokens that one index holds, and how many of a seed's terms ask it.
-SHARD_TOKENS, QUERY_TERMS = 1 << 20, 24
+SHARD_TOKENS, QUERY_TERMS = 1 << 20, 16
 K1, B = 1.2, 0.75
-REMEMBERED, LONGEST = 400_000, 96
+REMEMBERED, LONGEST = 1_000_000, 96
+#: Neighbours that are ranked first; the others only if these don't fill the window.
+FIRST = 48
+_MARKS = string.punctuation.replace("'", "").encode()
 
 
 class WordTokenizer:
@@ -43,15 +48,32 @@ class WordTokenizer:
         words = text.encode().split()
         found = list(map(self.seen.get, words))
         if None in found:
-            missing = list({w for w, ids in zip(words, found) if ids is None})
-            encoded = self.model.encode_batch([w.decode() for w in missing], add_special_tokens=False)
-            fresh = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(missing, encoded)}
-            found = [fresh[w] if ids is None else ids for w, ids in zip(words, found)]
-            if len(self.seen) + len(fresh) > REMEMBERED:
-                self.seen.clear()
-            self.seen.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
+            found = self._learned(words, found)
         return b"".join(found)
 
+    def _learned(self, words: list[bytes], found: list[bytes | None]) -> list[bytes]:
+        """Marks after a letter or digit at a word's end are tokens of their own, so the word is looked up without them."""
+        parts, new = {}, {}
+        for word, ids in zip(words, found):
+            if ids is None and word not in parts:
+                core = word.rstrip(_MARKS)
+                if not core or len(core) == len(word) or not core.decode()[-1].isalnum():
+                    core = word
+                parts[word] = core, word[len(core):]
+                for part in parts[word]:
+                    if part and part not in self.seen:
+                        new[part] = b""
+        if new:
+            for part, encoded in zip(new, self.model.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+                new[part] = array("I", encoded.ids).tobytes()
+        known = {**{p: self.seen[p] for pair in parts.values() for p in pair if p and p not in new}, **new}
+        fresh = {word: known[core] + (known[rest] if rest else b"") for word, (core, rest) in parts.items()}
+        found = [fresh[w] if ids is None else ids for w, ids in zip(words, found)]
+        if len(self.seen) + len(fresh) + len(new) > REMEMBERED:
+            self.seen.clear()
+        self.seen.update((w, ids) for x in (new, fresh) for w, ids in x.items() if len(w) <= LONGEST)
+        return found
+
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
 
@@ -66,14 +88,15 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
         if own is None:
             _TOKENIZERS.clear()
             own = _TOKENIZERS[hash(body.value)] = WordTokenizer(body.value)
+        numbers = np.arange(max(own.model.get_vocab_size(), END + 1), dtype=np.uint64)
+        hash1, hash2 = (to_int64(mixed(numbers + np.uint64(c)) >> np.uint64(1)) for c in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
         for batch in batches:
             for part in text_slices(batch):
                 near1, near2, ids = [], [], []
                 for text in part.column("text").to_pylist():
                     tokens = np.frombuffer((own.ids(text) if text else b"") + END.to_bytes(4, "little"), dtype="<u4")
-                    distinct = np.unique(tokens).astype(np.uint64)
-                    near1.append(int(mixed(distinct + np.uint64(0x5851F42D4C957F2D)).min() >> np.uint64(1)))
-                    near2.append(int(mixed(distinct + np.uint64(0x14057B7EF767814F)).min() >> np.uint64(1)))
+                    near1.append(hash1[tokens].min())
+                    near2.append(hash2[tokens].min())
                     ids.append(tokens.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(near1, pa.int64()), pa.array(near2, pa.int64()), pa.array(ids, pa.binary())],
@@ -143,6 +166,14 @@ def pack(documents: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[i
         left[d] -= n
         room -= n
 
+    def fill(candidates: np.ndarray) -> None:
+        for d in candidates[left[candidates] <= room]:
+            if left[d] <= room:
+                unused[d] = False
+                take(d, left[d])
+                if not room:
+                    break
+
     while True:
         if seed < 0:
             while cursor < len(documents) and not unused[cursor]:
@@ -155,13 +186,14 @@ def pack(documents: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[i
         if room:
             scores = np.where(unused, index.scores(seed), -1.0)
             found = np.flatnonzero(scores > 0)
-            best = found[np.argsort(-scores[found], kind="stable")]
-            for d in best[left[best] <= room]:
-                if left[d] <= room:
-                    unused[d] = False
-                    take(d, left[d])
-                    if not room:
-                        break
+            best = found
+            if len(found) > 2 * FIRST:
+                best = found[np.argpartition(-scores[found], FIRST)[:FIRST]]
+            best = best[np.argsort(-scores[best], kind="stable")]
+            fill(best)
+            if room and len(best) < len(found):
+                best = found[np.argsort(-scores[found], kind="stable")]
+                fill(best[unused[best]])
             if room:  # cut the best remaining neighbour, or the next document; its rest seeds the next window
                 rest = best[unused[best]]
                 if len(rest):

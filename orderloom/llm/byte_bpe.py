@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 from orderloom.llm.common import table, text_slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Chunks that one worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 400_000, 48
+#: Chunks and as many pre-tokens that one worker remembers, and the longest of them in characters.
+REMEMBERED, LONGEST = 600_000, 48
 _MASK = (1 << 64) - 1
 #: Before a space that follows something else than white space, pre-tokens always part.
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -128,19 +129,27 @@ class Encoder:
     def __init__(self, tables: Tables):
         self.tables, self.split = tables, regex.compile(tables.pattern)
         self.seen: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids, as little-endian unsigned 32-bit integers, of text that pre-tokens don't cross at either end."""
+        pieces = self.split.findall(chunk)
+        found = list(map(self.pieces.get, pieces))
+        for i, value in enumerate(found):
+            if value is None:
+                value = found[i] = self._piece(pieces[i].encode())
+                if len(pieces[i]) <= LONGEST:
+                    if len(self.pieces) >= REMEMBERED:
+                        self.pieces.clear()
+                    self.pieces[pieces[i]] = value
+        return b"".join(found)
+
+    def _piece(self, raw: bytes) -> bytes:
         known = self.tables
-        ids: list[int] = []
-        for piece in self.split.findall(chunk):
-            raw = piece.encode()
-            slot = known.hash.slot(raw)
-            if known.tokens[slot] == raw:
-                ids.append(known.ids[slot])
-            else:
-                ids += merge_pairs(raw, known.ranks)
-        return np.array(ids, dtype="<u4").tobytes()
+        slot = known.hash.slot(raw)
+        if known.tokens[slot] == raw:
+            return known.ids[slot].to_bytes(4, "little")
+        return array("I", merge_pairs(raw, known.ranks)).tobytes()
 
     def encode(self, text: str) -> bytes:
         parts = text.split(" ")
