@@ -27,7 +27,9 @@ from orderloom.operators.sized import broadcast_if_small
 _U = np.uint64
 #: Signatures that a bucket should hold, about 16 bytes each: what one reducing call has in memory.
 BUCKET_SIGNATURES = 1_000_000
-STAR_ROUNDS = 2
+#: Rounds of star pairs, each with so many pivots among the signatures that a group of documents shares: where a
+#: group's members are near the threshold, several pivots join what one leaves apart.
+STAR_PIVOTS = (1, 8, 32)
 _WIRE = 1_000_000
 
 
@@ -273,8 +275,9 @@ def _link(docs: DataFrame, classes: DataFrame, runs: DataFrame, width: int, thre
         return settle(_tested(likely, whole, threshold, True), "links")
 
     links, active = None, runs.withColumn("component", F.col("key"))
-    for turn in range(STAR_ROUNDS):
-        pivots = active.groupBy("sig").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key", "component")).alias("p"))
+    for pivots in STAR_PIVOTS:
+        rank = F.xxhash64("key", F.pmod("sig", F.lit(pivots)), F.lit(pivots))
+        pivots = active.groupBy("sig").agg(F.min(F.struct(rank.alias("h"), "key", "component")).alias("p"))
         pairs = active.join(pivots, "sig").where("p.component <> component").select(
             F.least("p.key", "key").alias("a"), F.greatest("p.key", "key").alias("b")).distinct()
         found = verified(pairs)
@@ -309,6 +312,7 @@ def _across(active: DataFrame, outlines: DataFrame, threshold: int) -> DataFrame
 
     def compare(batches):
         held: list[tuple[int, int, int, int, bytes]] = []
+        sent: set[tuple[int, int]] = set()  # of this task; other tasks' pairs are made distinct later
 
         def pairs():
             found: list[tuple[int, int]] = []
@@ -337,7 +341,10 @@ def _across(active: DataFrame, outlines: DataFrame, threshold: int) -> DataFrame
                     limit = (sizes[index] + n) * (100 - windows.threshold) // (100 + windows.threshold)
                     found += [(min(key, held[rows[x]][1]), max(key, held[rows[x]][1])) for x in index[apart <= limit]]
             held.clear()
-            return found
+            fresh = set(found) - sent
+            if len(sent) < _WIRE:
+                sent.update(fresh)
+            return list(fresh)
 
         def out(found):
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
