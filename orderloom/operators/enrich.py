@@ -12,11 +12,12 @@ def price_orders(df: DataFrame, gst_rate: float = GST_RATE) -> DataFrame:
     """Add ``total_amount``, ``tax_amount`` and ``final_amount`` from ``unit_price`` and ``quantity``.
 
     The tax is the correctly rounded floating-point product, so that it agrees to the cent with amounts that
-    were priced that way upstream; sums and whole multiples of cents are exact decimals."""
-    total = (F.col("unit_price").cast(MONEY) * F.col("quantity")).cast(MONEY)
+    were priced that way upstream; sums and whole multiples of cents are exact decimals. An amount
+    that is too large for the column is null, so that the row is rejected alone."""
+    total = (F.col("unit_price").try_cast(MONEY) * F.col("quantity")).try_cast(MONEY)
     return (df.withColumn("total_amount", total)
-            .withColumn("tax_amount", round_exact(F.col("total_amount").cast("double") * gst_rate, 2).cast(MONEY))
-            .withColumn("final_amount", (F.col("total_amount") + F.col("tax_amount")).cast(MONEY)))
+            .withColumn("tax_amount", round_exact(F.col("total_amount").cast("double") * gst_rate, 2).try_cast(MONEY))
+            .withColumn("final_amount", (F.col("total_amount") + F.col("tax_amount")).try_cast(MONEY)))
 
 
 def discount_prices(df: DataFrame) -> DataFrame:

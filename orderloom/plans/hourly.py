@@ -17,7 +17,8 @@ from orderloom.streaming.ingest import DRAIN_SECONDS, IngestOptions, drain, utc_
 def run_hourly(messages: DataFrame, warehouse: Warehouse, checkpoint: str, as_of: Instant = None,
                options: IngestOptions = IngestOptions(), dates: str = "today",
                seconds: float | None = DRAIN_SECONDS, **vocabulary: Sequence[str]) -> DataFrame:
-    """Run once and return one row of figures. A failed quality check raises before the rollup.
+    """Run once and return one row of figures; ``drained`` is false when time ran out before the stream did, and the
+    figures lack what is left. A failed quality check raises before the rollup.
 
     ``dates`` is ``today`` (the day of ``as_of`` only) or ``stale`` (every day that got orders since its last
     summary, so that late orders are counted too). A day stays stale until it is rolled up, so the quality checks
@@ -25,7 +26,7 @@ def run_hourly(messages: DataFrame, warehouse: Warehouse, checkpoint: str, as_of
     if dates not in ("today", "stale"):
         raise ValueError(f"dates must be 'today' or 'stale', not {dates!r}")
     began = utc_now()
-    drain(messages, warehouse, checkpoint, options, seconds)
+    drained = drain(messages, warehouse, checkpoint, options, seconds)
     read_at = utc_now()
     orders = warehouse.read("orders")
     chosen = stale_dates(warehouse.read("touched_dates"), warehouse.read("daily_summary")) \
@@ -38,5 +39,5 @@ def run_hourly(messages: DataFrame, warehouse: Warehouse, checkpoint: str, as_of
                      F.coalesce(F.sum("inserted"), F.lit(0)).alias("inserted")).first())
     return summary_check(warehouse.read("daily_summary"), today).select(
         F.lit(ingested["consumed"]).cast("bigint").alias("consumed"),
-        F.lit(ingested["inserted"]).cast("bigint").alias("inserted"),
+        F.lit(ingested["inserted"]).cast("bigint").alias("inserted"), F.lit(drained).alias("drained"),
         "categories", "total_orders", "total_revenue")

@@ -93,10 +93,12 @@ RECENT_COLUMNS = ("order_id", "order_timestamp", "customer_city", "category",
 def recent_orders(orders: DataFrame, limit: int = 20, as_of: Instant = None, days: int = 7) -> DataFrame:
     """The latest orders. Order ids are unique in a stored table; further ties can only be among copies.
 
-    In a table partitioned by date the partitions since ``days`` before ``as_of`` are tried first: when they hold
-    ``limit`` orders, no older one can be among the latest. Otherwise the whole table is read."""
+    In a table partitioned by date the partitions since ``days`` before ``as_of`` and that of orders without a time,
+    which come first, are tried first: when they hold ``limit`` orders, no other can be among the latest. Otherwise
+    the whole table is read, to the same answer."""
     if "order_date" in orders.columns:
-        newest = orders.filter(F.col("order_date") >= F.date_sub(instant(as_of).cast("date"), days))
+        newest = orders.filter((F.col("order_date") >= F.date_sub(instant(as_of).cast("date"), days))
+                               | F.col("order_date").isNull())
         if newest.limit(int(limit)).count() == int(limit):
             orders = newest
     return (orders.select(*RECENT_COLUMNS)

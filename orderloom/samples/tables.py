@@ -12,7 +12,6 @@ from orderloom.schemas import MONEY, ddl
 
 AS_OF = "2001-08-01 00:00:00"
 EVENTS_DAY = "2024-01-30"
-EVENTS_AS_OF = "2024-01-30 18:00:00"
 
 # The vocabulary that the given tables use instead of the library's own.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,11 +33,11 @@ def build_session(app: str = "orderloom", master: str | None = None, shuffle_par
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach, below ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder; on a cluster a missing setting
-    is an error, as a driver-local folder would be invisible to the executors."""
+    A local-mode session without that setting uses its warehouse folder; on a cluster a missing setting is an error, as
+    a driver-local folder would be invisible to the executors."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = os.path.join(tempfile.gettempdir(), "orderloom")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -32,6 +33,10 @@ TABLES = {
 }
 
 
+# Partition values that one folder pattern lists.
+PATTERN_VALUES = 300
+
+
 class Warehouse:
     """Tables by name, read with their fixed schema.
 
@@ -66,14 +71,20 @@ class Warehouse:
         return self._reader(table).parquet(self.path(table))
 
     def read_partitions(self, table: str, values: list) -> DataFrame:
-        """The rows of some partitions. Only their folders are listed, however many the table has."""
-        folders = f"{self.path(table)}/{TABLES[table].partition}={{{','.join(map(str, values))}}}"
-        try:
-            return self._reader(table).option("basePath", self.path(table)).parquet(folders)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """The rows of some partitions. Only their folders are listed, however many the table has; many values are
+        listed in several patterns, to the same result."""
+        found = []
+        for begin in range(0, len(values), PATTERN_VALUES):
+            part = ",".join(map(str, values[begin:begin + PATTERN_VALUES]))
+            folders = f"{self.path(table)}/{TABLES[table].partition}={{{part}}}"
+            try:
+                found.append(self._reader(table).option("basePath", self.path(table)).parquet(folders))
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        if not found:
             return self.spark.createDataFrame([], schemas.ddl(TABLES[table].layout))
+        return reduce(DataFrame.union, found)
 
     def _reader(self, table: str) -> DataFrameReader:
         return self.spark.read.schema(schemas.ddl(TABLES[table].layout))
@@ -96,9 +107,17 @@ class Warehouse:
          .partitionBy(spec.partition).parquet(self.path(table)))
 
 
+    def replace_partition(self, table: str, value: str, rows: DataFrame) -> None:
+        """Make ``rows`` all that the partition ``value`` holds; without rows it is emptied."""
+        spec = TABLES[table]
+        rows.select(*(name for name in spec.layout if name != spec.partition)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{self.path(table)}/{spec.partition}={value}")
+
+
 def insert_if_absent(warehouse: Warehouse, table: str, rows: DataFrame, key: str,
                      arrival: list[str]) -> int:
-    """Add the rows whose key the table lacks; the first copy of a key wins. Returns the number added.
+    """Add the rows whose key the table lacks; the first copy of a key wins. Returns the number added. A row without a
+    key is an error, and nothing is added then.
 
     Columns the rows do not have get the table's defaults, or NULL."""
     layout = TABLES[table].layout
@@ -108,6 +127,8 @@ def insert_if_absent(warehouse: Warehouse, table: str, rows: DataFrame, key: str
     fresh = keep_first(rows, [key], arrival).persist(StorageLevel.MEMORY_AND_DISK)
     held = held_keys(fresh, warehouse.read(table), [key]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if not fresh.filter(F.col(key).isNull()).isEmpty():
+            raise ValueError(f"{table}: {key} is null")
         added = fresh.count() - held.count()
         warehouse.append(table, fresh.join(held, key, "left_anti"))
         return added

@@ -8,24 +8,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.schemas import EVENT_FIELDS, ddl
 
-# Messages per micro-batch of the live and of the hourly job.
+# Messages per micro-batch of a small live and hourly job, for ``batch_rows``.
 LIVE_BATCH = 100
 HOURLY_BATCH = 200
 
-_CORRUPT = "_corrupt"
+_END = "_end"
 
 
-def kafka_options(servers: str, topic: str, batch_rows: int | None = LIVE_BATCH) -> dict[str, str]:
-    """Reader options: from the earliest offset, at most ``batch_rows`` messages per micro-batch.
-
-    On a cluster raise ``batch_rows`` to some seconds' worth of messages; None takes all there are."""
+def kafka_options(servers: str, topic: str, batch_rows: int | None = None) -> dict[str, str]:
+    """Reader options: from the earliest offset, all there is in a micro-batch, or at most ``batch_rows`` messages."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
     if batch_rows:
         options["maxOffsetsPerTrigger"] = str(batch_rows)
     return options
 
 
-def kafka_orders(spark: SparkSession, servers: str, topic: str, batch_rows: int | None = LIVE_BATCH) -> DataFrame:
+def kafka_orders(spark: SparkSession, servers: str, topic: str, batch_rows: int | None = None) -> DataFrame:
     """Order messages of a topic. Needs the Kafka connector on the class path."""
     messages = spark.readStream.format("kafka").options(**kafka_options(servers, topic, batch_rows)).load()
     return messages.select(F.col("value").cast("string").alias("value"),
@@ -57,12 +55,18 @@ def with_arrival(batch: DataFrame) -> DataFrame:
 
 
 def decode(messages: DataFrame, fields: Sequence[str] = EVENT_FIELDS) -> DataFrame:
-    """Event fields as text columns. A message that is not a JSON object keeps its text in ``payload``
-    (empty for a missing message) and has no fields."""
-    schema = ddl({name: "string" for name in (*fields, _CORRUPT)})
-    event = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    parsed = messages.withColumn("event", event)
-    broken = F.col("event").isNull() | F.col(f"event.{_CORRUPT}").isNotNull()
+    """Event fields as text columns. A message that is not exactly one JSON object keeps its text in ``payload``
+    (empty for a missing message) and has no fields.
+
+    The parser stops after a first value, so the message is read as a member with a mark behind it, which is only
+    reached if nothing else follows; and as an array of one, as a message may bring such a mark itself."""
+    schema = f"e struct<{ddl({name: 'string' for name in fields})}>, {_END} string"
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    whole = F.from_json(F.concat(F.lit('{"e":'), "value", F.lit(f',"{_END}":"1"}}')), schema, strict)
+    alone = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>", strict)
+    parsed = messages.withColumn("whole", whole).withColumn("event", F.col("whole.e"))
+    one = (F.size(alone) == 1) & (F.col(f"whole.{_END}") == "1") & F.col("event").isNotNull()
+    broken = ~F.coalesce(one, F.lit(False))
     kept = [F.when(~broken, F.col(f"event.{name}")).alias(name) for name in fields]
     payload = F.when(broken, F.coalesce("value", F.lit(""))).alias("payload")
     return parsed.select(*kept, payload, *(name for name in messages.columns if name != "value"))

@@ -33,7 +33,7 @@ DRAIN_SECONDS = 300
 class IngestOptions:
     """``dimensions`` names the master tables that orders must refer to. ``fixed_dates`` promises that copies of
     an order always carry the same order date; the search for existing keys then reads only the partitions a
-    batch falls in, instead of the key column of the whole table."""
+    batch falls in, instead of the key column of the whole table; which ones depends on the dates alone."""
 
     categories: Sequence[str] = CATEGORIES
     dimensions: Sequence[str] = ("customers", "products", "stores")
@@ -47,9 +47,9 @@ def utc_now() -> dt.datetime:
 def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label: str,
                options: IngestOptions = IngestOptions(), now: dt.datetime | None = None) -> None:
     """Process one micro-batch; ``label`` must be the same whenever this batch is repeated."""
-    now = now or utc_now()
+    began = now or utc_now()
     raw = decode(with_arrival(messages))
-    kept = [tag_orders(raw, ["arrival"], options.categories, order_rules(), ingested_at=now)
+    kept = [tag_orders(raw, ["arrival"], options.categories, order_rules(), ingested_at=began)
             .persist(StorageLevel.MEMORY_AND_DISK)]
     tagged = kept[0]
     try:
@@ -59,17 +59,17 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
             kept.extend(lost.values())
             tagged = tag_orphans(tagged, {name: broadcast_if_small(keys) for name, keys in lost.items()})
             kept.append(tagged.persist(StorageLevel.MEMORY_AND_DISK))
-        warehouse.replace_partitions("rejects", rejected_orders(tagged).withColumn("ingest_batch", F.lit(label)))
+        warehouse.replace_partition("rejects", label, rejected_orders(tagged))
         valid = valid_orders(tagged).withColumns(
             {"ingest_batch": F.lit(label), "order_date": F.to_date("order_timestamp")})
         held = _insert(warehouse, valid, label, options.fixed_dates)
-        touched = valid.select("order_date", "ingest_batch").distinct()
-        warehouse.replace_partitions("touched_dates", touched.withColumn("changed_at", instant(utc_now())))
+        touched = valid.select("order_date").distinct()
+        warehouse.replace_partition("touched_dates", label, touched.withColumn("changed_at", instant(utc_now())))
         counts = tagged.agg(F.count("*").alias("consumed"),
                             F.count_if(F.size("reject_reasons") > 0).alias("invalid")).first()
         inserted = counts["consumed"] - counts["invalid"] - held
-        metrics = [(batch_id, counts["consumed"], inserted, counts["invalid"], 0, now, label)]
-        warehouse.replace_partitions("batch_metrics", warehouse.spark.createDataFrame(metrics, ddl(BATCH_METRICS)))
+        metrics = [(batch_id, counts["consumed"], inserted, counts["invalid"], 0, now or utc_now(), label)]
+        warehouse.replace_partition("batch_metrics", label, warehouse.spark.createDataFrame(metrics, ddl(BATCH_METRICS)))
     finally:
         for table in reversed(kept):
             table.unpersist()

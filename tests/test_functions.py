@@ -81,3 +81,10 @@ def test_timestamps_are_read_row_by_row(spark):
     got = column(spark, values, "string", coerce.timestamp_or_null)
     assert [str(v) for v in got] == ["2024-01-05 10:00:00.123456", "2024-01-05 10:00:00", "2024-01-05 00:00:00",
                                      "None", "None"]
+
+
+def test_a_price_beyond_the_column_is_null_and_not_an_error(spark):
+    from orderloom.operators.enrich import price_orders
+    rows = spark.sql("select * from values (1, 9999999999.99D, 5), (2, 1e300D, 1), (3, 10.0D, 2) as t(id, unit_price, quantity)")
+    got = {r["id"]: r["total_amount"] for r in price_orders(rows).collect()}
+    assert got[1] is None and got[2] is None and float(got[3]) == 20.0

@@ -162,3 +162,14 @@ def test_stale_dates(spark):
     summary = spark.createDataFrame(
         [(dt.date(2024, 5, 1), at(3)), (dt.date(2024, 5, 2), at(3))], "summary_date date, computed_at timestamp_ntz")
     assert {r[0].day for r in rollup.stale_dates(touched, summary).collect()} == {1, 3}
+
+
+def test_recent_orders_without_a_time_come_first_whatever_the_window(spark):
+    orders = spark.sql("""
+        select * from values ('a', timestamp_ntz '2024-05-05 10:00:00', date '2024-05-05'), ('n', null, null)
+        as t(order_id, order_timestamp, order_date)""").selectExpr(
+        "*", "'x' as customer_city", "'Books' as category", "cast(1 as decimal(12,2)) as final_amount",
+        "'UPI' as payment_method", "'Placed' as order_status")
+    for as_of in ("2024-05-06 00:00:00", "2025-05-06 00:00:00"):
+        for limit, expected in ((1, ["n"]), (2, ["n", "a"]), (9, ["n", "a"])):
+            assert [r[0] for r in reports.recent_orders(orders, limit, as_of).collect()] == expected

@@ -3,27 +3,28 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from orderloom.operators import dates
 from orderloom.plans.hourly import run_hourly
 from orderloom.plans.quality import QualityError
 from orderloom.session import shared_folder
+from orderloom.sinks import warehouse
 from orderloom.sinks.publish import publish_rows
 from orderloom.sinks.warehouse import Warehouse, insert_if_absent
 from orderloom.sources.events import decode, kafka_options, landed_orders
-from orderloom.streaming.ingest import IngestOptions, drain, ingest_totals, start_live
+from orderloom.streaming.ingest import IngestOptions, drain, ingest_totals, load_batch, start_live
 
 
 @pytest.fixture
 def store(spark):
     """An empty warehouse with one customer, product and store."""
-    warehouse = Warehouse(spark, shared_folder(spark, "store")).create()
+    made = Warehouse(spark, shared_folder(spark, "store")).create()
     for table, key, sql in (
             ("customers", "customer_id", "select 'c1' as customer_id, 'Asha' as name, 1 as seq"),
             ("products", "product_id", "select 'p1' as product_id, 'Lamp' as name, 'Books' as category, 1 as seq"),
             ("stores", "store_id", "select 's1' as store_id, 'Main' as store_name, 1 as seq")):
-        insert_if_absent(warehouse, table, spark.sql(sql), key, ["seq"])
-    return warehouse
+        insert_if_absent(made, table, spark.sql(sql), key, ["seq"])
+    return made
 
 
 @pytest.fixture
@@ -77,33 +78,65 @@ def test_two_batches_and_a_replay(spark, store, landing, tmp_path, event):
 
 def test_a_batch_that_fails_after_its_insert_is_repeated(spark, store, landing, tmp_path, event, monkeypatch):
     landing("a.json", event(), event(order_id="o2", quantity="x"), event(order_id="o3"))
-    real = Warehouse.replace_partitions
+    real = Warehouse.replace_partition
 
-    def fail_once(self, table, rows):
+    def fail_once(self, table, value, rows):
         if table == "touched_dates":
             raise RuntimeError("lost")
-        real(self, table, rows)
+        real(self, table, value, rows)
 
-    monkeypatch.setattr(Warehouse, "replace_partitions", fail_once)
+    monkeypatch.setattr(Warehouse, "replace_partition", fail_once)
     with pytest.raises(Exception, match="lost"):
         run(spark, store, landing, str(tmp_path / "cp"))
     assert store.read("orders").count() == 2
     assert store.read("batch_metrics").count() == 0
-    monkeypatch.setattr(Warehouse, "replace_partitions", real)
+    monkeypatch.setattr(Warehouse, "replace_partition", real)
     assert run(spark, store, landing, str(tmp_path / "cp"))
     assert store.read("orders").count() == 2 and store.read("rejects").count() == 1
     metrics = store.read("batch_metrics").first()
     assert (metrics["consumed"], metrics["inserted"], metrics["invalid"]) == (3, 2, 1)
 
 
-@pytest.mark.parametrize("most", [400, 1])
+@pytest.mark.parametrize("most", [300, 1])
 def test_search_within_the_batch_dates(spark, store, landing, tmp_path, event, monkeypatch, most):
-    monkeypatch.setattr(dates, "MAX_LISTED_DATES", most)
+    monkeypatch.setattr(warehouse, "PATTERN_VALUES", most)
     landing("a.json", event(), event(order_id="o2", order_timestamp="2024-05-09T00:00:00"))
     landing("b.json", event(brand="again"), event(order_id="o3", order_timestamp="2024-05-07T00:00:00"),
             event(order_id="o2", brand="again", order_timestamp="2024-05-09T00:00:00"))
+    landing("c.json", event(order_id="o3", brand="moved", order_timestamp="2024-05-01T00:00:00"), event(order_id="o4"))
     run(spark, store, landing, str(tmp_path / "cp"), fixed_dates=True)
-    assert stored(store) == {("o1", "Acme"), ("o2", "Acme"), ("o3", "Acme")}
+    # A broken promise is stored again, whether one pattern lists the dates or several.
+    assert stored(store) == {("o1", "Acme"), ("o2", "Acme"), ("o3", "Acme"), ("o3", "moved"), ("o4", "Acme")}
+
+
+def test_a_repeated_batch_drops_its_former_rejects(spark, store, event):
+    messages = spark.createDataFrame([(json.dumps(event(customer_id="late")), 1)], "value string, n int").select(
+        "value", F.struct("n").alias("arrival"))
+    load_batch(store, messages, 0, "L-0")
+    assert store.read("rejects").count() == 1 and store.read("touched_dates").count() == 0
+    insert_if_absent(store, "customers", store.read("customers").limit(1).withColumn("customer_id", F.lit("late")),
+                     "customer_id", ["customer_id"])
+    load_batch(store, messages, 0, "L-0")
+    assert store.read("rejects").count() == 0 and store.read("orders").count() == 1
+    assert store.read("touched_dates").count() == 1
+    assert store.read("batch_metrics").select("invalid").first()[0] == 0
+
+
+def test_a_load_without_a_key_is_refused(spark, store):
+    rows = spark.sql("select cast(null as string) as customer_id, 'x' as name, 1 as seq")
+    with pytest.raises(ValueError, match="customer_id"):
+        insert_if_absent(store, "customers", rows, "customer_id", ["seq"])
+    assert store.read("customers").count() == 1
+
+
+def test_only_whole_messages_are_decoded(spark, event):
+    good = json.dumps(event())
+    flawed = [good + good, good + " trailing", good.replace('"', "'"), f"[{good}]", good + ',"_end":"1"', good + "] x",
+              "", "null", "7", good[:-1], None]
+    rows = spark.createDataFrame([(x,) for x in [good, f" {good}\n", "{}", *flawed]], "value string")
+    got = decode(rows).select("order_id", "payload").collect()
+    assert [r["order_id"] for r in got] == ["o1", "o1", None] + [None] * len(flawed)
+    assert [r["payload"] for r in got] == [None] * 3 + [x or "" for x in flawed]
 
 
 def test_live_job_takes_files_as_they_come(spark, store, landing, tmp_path, event):
@@ -164,7 +197,7 @@ def test_published_rows_come_back(spark):
 
 
 def test_kafka_reader_options():
-    assert kafka_options("h:9092", "orders") == {
+    assert kafka_options("h:9092", "orders", 100) == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "orders", "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "100"}
-    assert "maxOffsetsPerTrigger" not in kafka_options("h:9092", "orders", None)
+    assert "maxOffsetsPerTrigger" not in kafka_options("h:9092", "orders")
