@@ -43,8 +43,8 @@ def fold_messages(events: DataFrame) -> DataFrame:
     logs = logs.withColumn("resets", F.expr("transform(log, (e, i) -> if(e.kind in ('edit', 'regenerate'), i, -1))"))
     logs = logs.withColumn("last", F.greatest(F.array_max("resets"), F.lit(0)))
     text = F.expr("array_join(transform(filter(slice(log, last + 1, size(log)), e -> e.kind in ('edit', 'delta')), e -> e.text), '')")
-    role = F.coalesce(F.expr("filter(log, e -> e.kind = 'start' and e.role is not null)")[0]["role"],
-                      F.expr("filter(log, e -> e.role is not null)")[0]["role"], F.lit(""))
+    role = F.coalesce(F.get(F.expr("filter(log, e -> e.kind = 'start' and e.role is not null)"), F.lit(0))["role"],
+                      F.get(F.expr("filter(log, e -> e.role is not null)"), F.lit(0))["role"], F.lit(""))
     return logs.select("conv_id", "message", role.alias("role"), text.alias("text"))
 
 

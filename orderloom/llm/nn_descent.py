@@ -303,6 +303,7 @@ def search(graph: DataFrame, coded: DataFrame, starts: DataFrame, steps: int = S
         if scored.num_rows:
             found = scored.column("node").to_numpy()
             ask = _decoded(known.column("code").combine_chunks(), known.column("scale"))[0]
+            ask[-1] = 0.0  # the added component serves stored vectors only
             near = _decoded(scored.column("ncode").combine_chunks(), scored.column("nscale")) @ ask
             ids, sims = np.concatenate([ids, found]), np.concatenate([sims, near.astype(np.float32)])
             done, seen = np.concatenate([done, np.zeros(len(found), dtype=bool)]), np.concatenate([seen, found])

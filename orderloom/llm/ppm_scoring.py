@@ -7,8 +7,7 @@ excluded further down. Counts are made over all training texts and summed in Spa
 the trie in flat form, at most ``NODES`` entries an order, the most frequent first: escapes stand in for the rest.
 
 Beside it stands a unigram model of words. Its counts are not broadcast: a text's words are joined with their counts by
-hash; only words that make up at least one in ``FREQUENT`` tokens, of which there are at most ``FREQUENT``, are looked
-up in place."""
+hash; only the ``FREQUENT`` most frequent ones, which hold every hot word, are looked up in place."""
 
 from __future__ import annotations
 
@@ -22,7 +21,7 @@ from orderloom.llm.crf_language import remainder
 
 ORDER = 5
 NODES = 1 << 21
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 END = 256
 _SYMBOLS = 257
 _WORD, _GRAM = 0, 1
@@ -166,6 +165,18 @@ class Trie:
         return out
 
 
+class Model:
+    """What the workers get: counts of each order and of the frequent words; the lookups are made there, once a worker."""
+
+    def __init__(self, tables, words: np.ndarray, counts: np.ndarray):
+        self.tables, self.words, self.counts, self.made = tables, words, counts, None
+
+    def ready(self) -> tuple[Trie, Lookup, np.ndarray]:
+        if self.made is None:
+            self.made = Trie(self.tables), Lookup(self.words), np.log10(self.counts + 0.5)
+        return self.made
+
+
 def count_training(docs: DataFrame) -> DataFrame:
     """(kind, key, n): words (with ends of texts) and byte contexts with symbols of all given texts, summed."""
 
@@ -213,15 +224,15 @@ def count_training(docs: DataFrame) -> DataFrame:
         run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def read_trie(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> Trie:
-    """The trie of counted contexts; orders below the highest by summing over the bytes that they lack."""
+def read_contexts(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of the trie's contexts with symbols, by order; those below the highest by summing over the bytes that they lack."""
     tables = []
     for k in range(order + 1):
         key = F.col("key").bitwiseAND(F.lit((1 << (8 * k + 9)) - 1)).alias("key")
         rows = counts.where(F.col("kind") == _GRAM).groupBy(key).agg(F.sum("n").alias("n"))
         frame = rows.orderBy(F.desc("n"), "key").limit(nodes).toArrow()
         tables.append((frame.column("key").to_numpy().astype(np.uint64), frame.column("n").to_numpy()))
-    return Trie(tables)
+    return tables
 
 
 def score_documents(docs: DataFrame, training: Column) -> DataFrame:
@@ -236,13 +247,12 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     counts = settle(count_training(docs.where(training)), "counts")
     words = counts.where(F.col("kind") == _WORD)
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    often = words.where(F.col("n") * FREQUENT >= size["n"]).select("key", "n").toArrow()
-    frequent = Lookup(often.column("key").to_numpy().view(np.uint64))
-    model = spark.sparkContext.broadcast((read_trie(counts), frequent, often.column("n").to_numpy()))
+    often = words.orderBy(F.desc("n"), "key").limit(FREQUENT).select("key", "n").toArrow()
+    model = spark.sparkContext.broadcast(Model(
+        read_contexts(counts), often.column("key").to_numpy().view(np.uint64), often.column("n").to_numpy()))
 
     def run(batches):
-        trie, common, known_counts = model.value
-        logs = np.log10(known_counts + 0.5)
+        trie, common, logs = model.value.ready()
         number = TaskContext.get().partitionId() << 33
         end = common.find(np.array([END_WORD], dtype=np.uint64))[0]
         for batch in batches:
@@ -269,10 +279,10 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = settle(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         run, f"row long, doc_id {kind}, n_tokens long, n_known long, known double, score double, rare array<bigint>"), "scored")
-    rare = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
+    rare = scored.select("row", F.explode("rare").alias("key"))
     found = rare.join(words.select("key", "n"), "key", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_value"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_value"),
+        F.count_if(F.col("n") > 0).alias("rare_known"))
     scale = float(np.log10(size["n"] + 0.5 * (size["v"] + 1)))
     # The end is rare too where no training text exists; its log10 of 0.5 belongs to the sum then.
     ends = 0.0 if size["n"] else float(np.log10(0.5))
