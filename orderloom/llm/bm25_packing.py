@@ -28,6 +28,8 @@ END = 1
 SHARD_TOKENS, QUERY_TERMS = 1 << 20, 16
 K1, B = 1.2, 0.75
 REMEMBERED, LONGEST = 1_000_000, 96
+#: New words of letters that are encoded in one line.
+TOGETHER = 64
 #: Neighbours that are ranked first; the others only if these don't fill the window.
 FIRST = 48
 _MARKS = string.punctuation.replace("'", "").encode()
@@ -42,6 +44,10 @@ class WordTokenizer:
         self.model = Tokenizer.from_str(body)
         self.model.encode_special_tokens = True
         self.seen: dict[bytes, bytes] = {}
+        vocabulary = self.model.get_vocab(with_added_tokens=False)
+        #: Ids that end a run of letters, digits or marks; none, if the vocabulary doesn't tell.
+        self.last = np.zeros(max(self.model.get_vocab_size(), END + 1), dtype=bool)
+        self.last[[number for piece, number in vocabulary.items() if piece.endswith("</w>")]] = True
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -52,19 +58,30 @@ class WordTokenizer:
         return b"".join(found)
 
     def _learned(self, words: list[bytes], found: list[bytes | None]) -> list[bytes]:
-        """Marks after a letter or digit at a word's end are tokens of their own, so the word is looked up without them."""
+        """Marks after a letter or digit at a word's end are tokens of their own, so the word is looked up without them;
+        and ASCII letters have the ids of their small forms."""
         parts, new = {}, {}
         for word, ids in zip(words, found):
             if ids is None and word not in parts:
                 core = word.rstrip(_MARKS)
                 if not core or len(core) == len(word) or not core.decode()[-1].isalnum():
                     core = word
-                parts[word] = core, word[len(core):]
+                parts[word] = core.lower() if core.isascii() else core, word[len(core):]
                 for part in parts[word]:
                     if part and part not in self.seen:
                         new[part] = b""
         if new:
-            for part, encoded in zip(new, self.model.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+            texts = {part: part.decode() for part in new}
+            letters = [part for part in new if texts[part].isalpha()]
+            for a in range(0, len(letters), TOGETHER):
+                some = letters[a:a + TOGETHER]
+                line = self.model.encode_batch_fast([" ".join(texts[p] for p in some)], add_special_tokens=False)[0].ids
+                ends = (np.flatnonzero(self.last[line]) + 1).tolist()
+                if len(ends) == len(some) and ends[-1] == len(line):  # one run of letters each, as expected
+                    body = array("I", line).tobytes()
+                    new.update((p, body[4 * x:4 * y]) for p, x, y in zip(some, [0, *ends], ends))
+            rest = [part for part, ids in new.items() if not ids]
+            for part, encoded in zip(rest, self.model.encode_batch_fast([texts[p] for p in rest], add_special_tokens=False)):
                 new[part] = array("I", encoded.ids).tobytes()
         known = {**{p: self.seen[p] for pair in parts.values() for p in pair if p and p not in new}, **new}
         fresh = {word: known[core] + (known[rest] if rest else b"") for word, (core, rest) in parts.items()}
