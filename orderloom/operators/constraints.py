@@ -105,6 +105,22 @@ def tag_orphans(orders: DataFrame, lost: dict[str, DataFrame]) -> DataFrame:
     return tag_violations(tagged, rules).drop(*marks)
 
 
+def tag_unmatched(orders: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Append ``orphan_*`` to ``reject_reasons`` of orders whose key a dimension lacks, in one pass over the orders:
+    they meet the distinct keys of each dimension. For orders that are not held in memory; no NULL key is tagged."""
+    tagged = orders if "reject_reasons" in orders.columns else tag_violations(orders, [])
+    rules: list[Rule] = []
+    marks: list[str] = []
+    for table, dimension in dimensions.items():
+        link = FOREIGN_KEYS[table]
+        mark = f"_held_{table}"
+        keys = dimension.select(F.col(link.key).alias(mark)).filter(F.col(mark).isNotNull()).distinct()
+        tagged = tagged.join(keys, F.col(link.column) == F.col(mark), "left")
+        rules.append((link.reason, F.col(link.column).isNotNull() & F.col(mark).isNull()))
+        marks.append(mark)
+    return tag_violations(tagged, rules).drop(*marks)
+
+
 def tag_repeated_emails(customers: DataFrame, arrival: list[str]) -> DataFrame:
     """Append ``duplicate_email`` where an earlier customer has the same address. NULL never repeats."""
     with_mark = tag_first(customers, ["email"], arrival, flag="_first_email", among=F.col("email").isNotNull())

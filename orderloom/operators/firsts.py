@@ -18,8 +18,9 @@ def tag_first(df: DataFrame, keys: list[str], arrival: list[str], flag: str = "i
     """Add ``flag``: is this row the earliest copy of its key?
 
     ``arrival`` columns together must tell all copies of a key apart (a Kafka partition and offset, a file and a
-    position). NULL keys count as one key. Rows outside ``among`` neither compete nor get the flag."""
-    stamp = F.struct(*arrival)
+    position) and are never NULL; a single number is the cheapest, as its minimum is a hash aggregate. NULL keys count
+    as one key. Rows outside ``among`` neither compete nor get the flag."""
+    stamp = F.col(arrival[0]) if len(arrival) == 1 else F.struct(*arrival)
     names = {key: f"_key_{key}" for key in keys}
     candidates = df if among is None else df.filter(among)
     firsts = (candidates

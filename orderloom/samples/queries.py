@@ -275,8 +275,7 @@ def orphan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimensions = {"customers": streams.accepted_customers(spark, sf_dir),
                   "products": streams.accepted_products(spark, sf_dir),
                   "stores": streams.accepted_stores(spark, sf_dir)}
-    tagged = constraints.tag_orphans(orders, {
-        name: constraints.orphan_keys(orders, name, dimension) for name, dimension in dimensions.items()})
+    tagged = constraints.tag_unmatched(orders, dimensions)
     return plain(tagged.filter(F.size("reject_reasons") > 0).withColumn(
         "reject_reasons", F.array_join("reject_reasons", ",")))
 

@@ -48,10 +48,11 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
                options: IngestOptions = IngestOptions(), now: dt.datetime | None = None) -> None:
     """Process one micro-batch; ``label`` must be the same whenever this batch is repeated."""
     began = now or utc_now()
-    raw = decode(with_arrival(messages))
-    kept = [tag_orders(raw, ["arrival"], options.categories, order_rules(), ingested_at=began)
-            .persist(StorageLevel.MEMORY_AND_DISK)]
-    tagged = kept[0]
+    # Decoded and numbered once: first copies are told by meeting the batch with itself.
+    raw = decode(with_arrival(messages)).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = tag_orders(raw, ["arrival"], options.categories, order_rules(), ingested_at=began).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    kept = [raw, tagged]
     try:
         if options.dimensions:
             lost = {name: orphan_keys(tagged, name, warehouse.read(name)).persist(StorageLevel.MEMORY_AND_DISK)

@@ -39,9 +39,11 @@ def test_orphans(spark):
                   "products": spark.createDataFrame([("p1",)], "product_id string")}
     tagged = constraints.tag_orphans(orders, {
         name: constraints.orphan_keys(orders, name, dimension) for name, dimension in dimensions.items()})
-    assert {r["order_id"]: r["reject_reasons"] for r in tagged.collect()} == {
-        "o1": [], "o2": ["orphan_customer", "orphan_product"], "o3": [], "o4": ["orphan_customer"]}
-    assert tagged.columns == [*orders.columns, "reject_reasons"]
+    repeated = {name: dimension.union(dimension) for name, dimension in dimensions.items()}
+    for found in (tagged, constraints.tag_unmatched(orders, repeated)):
+        assert sorted((r["order_id"], r["reject_reasons"]) for r in found.collect()) == [
+            ("o1", []), ("o2", ["orphan_customer", "orphan_product"]), ("o3", []), ("o4", ["orphan_customer"])]
+        assert found.columns == [*orders.columns, "reject_reasons"]
 
 
 def test_repeated_emails(spark):

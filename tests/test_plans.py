@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.absent import held_keys
 from orderloom.operators.dates import on_dates
+from orderloom.operators.firsts import tag_first
 from orderloom.operators.sized import broadcast_if_small
 from orderloom.plans import reports, rollup
 from orderloom.samples.queries import QUERIES
@@ -47,6 +48,16 @@ def test_top_rows_need_no_full_sort(spark):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF_DIR))
 
 
+def test_orphans_read_the_orders_once(spark):
+    text = plan(QUERIES["orphan_orders"](spark, SF_DIR))
+    assert len(re.findall(r"Location: \S+ \[\S*lineitem", text)) == 1
+
+
+def test_first_copies_by_one_number_need_no_sort(spark):
+    rows = spark.range(10).select(F.col("id").alias("arrival"), (F.col("id") % 3).cast("string").alias("key"))
+    assert "SortAggregate" not in plan(tag_first(rows, ["key"], ["arrival"]))
+
+
 @pytest.fixture
 def store(spark):
     """A warehouse with one order on each of two days."""
