@@ -385,3 +385,15 @@ def test_word_hashes_follow_the_words():
         for w, h in zip(lowered(t), own):
             assert known.setdefault(w, h) == h
     assert len(set(known.values())) == len(known)
+
+
+def test_word_tokenizer_agrees_with_the_library_on_hard_words():
+    with open(public_tokenizers.path(bm25_packing.VOCABULARY), encoding="utf-8") as file:
+        body = file.read()
+    own, model = bm25_packing.WordTokenizer(body), Tokenizer.from_str(body)
+    model.encode_special_tokens = True
+    texts = ["", "ẞ İstanbul J̌ H̱x יִ abc", "Ⅰ a²b ½ x", "éa ÉA", "don't DON'T 'S x's' That That,", "日本 語。 中文",
+             "##% .. a1b2c3,", "ΑΣ ΣΑΣ,", "a\x00b \x1c c\x1fd", "K K k", "ﬁne ǅ", "<|startoftext|>hi <|endoftext|>"]
+    texts += [" ".join(f"{a}{b}" for a in "abcDEF" for b in ("xyz", "Qr", "é", "s,", "7")), "w" * 5000]
+    for text in texts * 2:  # new words, then remembered ones
+        assert np.frombuffer(own.ids(text), dtype="<u4").tolist() == model.encode(text, add_special_tokens=False).ids
