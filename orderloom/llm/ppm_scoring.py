@@ -3,8 +3,10 @@
 A trie of byte contexts up to ``ORDER`` bytes holds, for every context, how often each symbol (a byte or the end of the
 text) followed it in the training texts. A symbol's probability is taken at the longest known context that has it;
 each longer one is left by an escape, estimated by half its number of distinct symbols (method D), and its symbols are
-excluded further down. Counts are made over all training texts and summed in Spark by shuffles. What the workers get is
-the trie in flat form, at most ``NODES`` entries an order, the most frequent first: escapes stand in for the rest.
+excluded further down. Counts are made over all training texts and summed in Spark by shuffles. Where no order has more
+than ``NODES`` entries the workers get the whole trie in flat form. Beyond that they get the values of the ``NODES`` most
+frequent entries of the highest order, and all other symbols of the texts are joined with their values, which are made
+in Spark from all counts, order by order.
 
 Beside it stands a unigram model of words. Its counts are not broadcast: a text's words are joined with their counts by
 hash; only the ``FREQUENT`` most frequent ones, which hold every hot word, are looked up in place."""
@@ -165,15 +167,29 @@ class Trie:
         return out
 
 
+class Frequent:
+    """Values of the most frequent entries of the highest order."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.entries, self.values = Lookup(keys), values
+
+    def log10(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of each symbol in its context, NaN where it has to be joined."""
+        row = self.entries.find(keys)
+        return np.where(row >= 0, self.values[row], np.nan) if len(self.values) else np.full(len(keys), np.nan)
+
+
 class Model:
-    """What the workers get: counts of each order and of the frequent words; the lookups are made there, once a worker."""
+    """What the workers get: the trie's counts (all of them) or values of its frequent entries, and counts of the frequent
+    words; the lookups are made there, once a worker."""
 
-    def __init__(self, tables, words: np.ndarray, counts: np.ndarray):
-        self.tables, self.words, self.counts, self.made = tables, words, counts, None
+    def __init__(self, tables, frequent, words: np.ndarray, counts: np.ndarray):
+        self.tables, self.frequent, self.words, self.counts, self.made = tables, frequent, words, counts, None
 
-    def ready(self) -> tuple[Trie, Lookup, np.ndarray]:
+    def ready(self) -> tuple[Trie | Frequent, Lookup, np.ndarray]:
         if self.made is None:
-            self.made = Trie(self.tables), Lookup(self.words), np.log10(self.counts + 0.5)
+            trie = Frequent(*self.frequent) if self.tables is None else Trie(self.tables)
+            self.made = trie, Lookup(self.words), np.log10(self.counts + 0.5)
         return self.made
 
 
@@ -224,32 +240,99 @@ def count_training(docs: DataFrame) -> DataFrame:
         run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def read_contexts(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(keys, counts) of the trie's contexts with symbols, by order; those below the highest by summing over the bytes that they lack."""
+def entries_of(counts: DataFrame, order: int) -> DataFrame:
+    """(key, n): the trie's entries (context and symbol) of an order; those below the highest by summing over the bytes
+    that they lack."""
+    key = F.col("key").bitwiseAND(F.lit((1 << (8 * order + 9)) - 1)).alias("key")
+    return counts.where(F.col("kind") == _GRAM).groupBy(key).agg(F.sum("n").alias("n"))
+
+
+def read_contexts(counts: DataFrame, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of all entries, by order."""
     tables = []
     for k in range(order + 1):
-        key = F.col("key").bitwiseAND(F.lit((1 << (8 * k + 9)) - 1)).alias("key")
-        rows = counts.where(F.col("kind") == _GRAM).groupBy(key).agg(F.sum("n").alias("n"))
-        frame = rows.orderBy(F.desc("n"), "key").limit(nodes).toArrow()
+        frame = entries_of(counts, k).toArrow()
         tables.append((frame.column("key").to_numpy().astype(np.uint64), frame.column("n").to_numpy()))
     return tables
 
 
-def score_documents(docs: DataFrame, training: Column) -> DataFrame:
+class SparkTrie:
+    """The trie as tables: for each order the entries (key, n) and the contexts (context, total, kinds, rest,
+    rest_kinds). ``rest`` and ``rest_kinds``: what the next shorter context has left without this one's symbols."""
+
+    def __init__(self, counts: DataFrame):
+        self.entries = [settle(entries_of(counts, k), f"order-{k}") for k in range(ORDER + 1)]
+        self.contexts = []
+        for k, entries in enumerate(self.entries):
+            rows = entries.withColumn("context", F.shiftright("key", 9))
+            sums = [F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")]
+            if not k:
+                nothing = F.lit(0).cast("bigint")
+                own = rows.groupBy("context").agg(*sums).withColumns({"rest": nothing, "rest_kinds": nothing})
+            else:  # every entry has its shorter one, which has at most 256 longer ones
+                under = self.entries[k - 1].select(F.col("key").alias("under"), F.col("n").alias("n_under"))
+                own = rows.withColumn("under", F.col("key").bitwiseAND(F.lit((1 << (8 * k + 1)) - 1))).join(
+                    under, "under").groupBy("context").agg(*sums, F.sum("n_under").alias("shared"))
+                below = self.contexts[-1].select(F.col("context").alias("below"), F.col("total").alias("total_below"),
+                                                 F.col("kinds").alias("kinds_below"))
+                own = own.withColumn("below", F.col("context").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1))).join(
+                    below, "below").select("context", "total", "kinds", (F.col("total_below") - F.col("shared")).alias("rest"),
+                                           (F.col("kinds_below") - F.col("kinds")).alias("rest_kinds"))
+            self.contexts.append(settle(own, f"contexts-{k}"))
+
+    def frequent(self, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the most frequent entries of the highest order, and their values."""
+        rows = self.entries[-1].orderBy(F.desc("n"), "key").limit(limit).withColumn("context", F.shiftright("key", 9))
+        value = F.log10((2 * F.col("n") - 1) / (2 * F.col("total")))
+        frame = rows.join(self.contexts[-1], "context").select("key", value.alias("value")).toArrow()
+        return frame.column("key").to_numpy().astype(np.uint64), frame.column("value").to_numpy()
+
+    def log10(self, keys: DataFrame) -> DataFrame:
+        """(key, value) for each of the distinct ``keys``: log10 probability of the symbol in its context.
+
+        From the lowest order up, over the distinct contexts and symbols of that order: ``value`` if no longer context
+        is known, ``after`` once this context was escaped from. No row of a join meets more than 257 others."""
+        none = F.lit(float(-np.log10(_SYMBOLS)))
+        lower = None
+        for k in range(ORDER + 1):
+            rows = keys.select(F.col("key").bitwiseAND(F.lit((1 << (8 * k + 9)) - 1)).alias("key")).distinct()
+            rows = rows.withColumn("context", F.shiftright("key", 9)).join(self.entries[k], "key", "left").join(
+                self.contexts[k], "context", "left")
+            if k:
+                rows = rows.withColumn("under", F.col("key").bitwiseAND(F.lit((1 << (8 * k + 1)) - 1))).join(lower, "under", "left")
+                rest, kinds = F.greatest(2 * F.col("rest"), F.lit(1)), F.greatest("rest_kinds", F.lit(1))
+                gain = F.log10(2 * F.col("n_under") - 1) - F.when(F.col("rest") > 0, F.log10(rest)).otherwise(F.lit(0.0))
+                leave = F.when(F.col("rest_kinds") > 0, F.log10(kinds / rest)).otherwise(F.lit(0.0))
+                after = F.when(F.col("n_under").isNotNull(), gain).otherwise(leave + F.col("after_under"))
+                unknown = F.col("value_under")
+            else:
+                after, unknown = -F.log10(F.greatest(_SYMBOLS - F.col("kinds"), F.lit(1))), none
+            value = F.when(F.col("n").isNotNull(), F.log10((2 * F.col("n") - 1) / (2 * F.col("total")))).when(
+                F.col("total").isNotNull(), F.log10(F.col("kinds") / (2 * F.col("total"))) + after).otherwise(unknown)
+            rows = settle(rows.select("key", "n", value.alias("value"), after.alias("after")), f"values-{k}")
+            lower = rows.select(F.col("key").alias("under"), F.col("n").alias("n_under"),
+                                F.col("value").alias("value_under"), F.col("after").alias("after_under"))
+        return rows.select("key", "value")
+
+
+def score_documents(docs: DataFrame, training: Column, nodes: int = NODES) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs`` (doc_id, text, and what
     ``training`` needs); learned from the rows that ``training`` marks.
 
     ``score`` is the log10 probability of the text's bytes and its end under the trie, ``base_score`` that of its words
     and end under the unigram counts. Null texts count as empty (their end is still a token); without training rows
-    every symbol is equally likely. Repeated rows come back as often as they came in, a null doc_id stays null; an empty
+    every symbol is equally likely. ``nodes`` only decides what is looked up in place. Repeated rows come back as often as they came in, a null doc_id stays null; an empty
     table gives an empty result."""
     spark = docs.sparkSession
     counts = settle(count_training(docs.where(training)), "counts")
     words = counts.where(F.col("kind") == _WORD)
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     often = words.orderBy(F.desc("n"), "key").limit(FREQUENT).select("key", "n").toArrow()
+    # No lower order has more entries than the highest.
+    whole = counts.where(F.col("kind") == _GRAM).count() <= nodes
+    stored = None if whole else SparkTrie(counts)
     model = spark.sparkContext.broadcast(Model(
-        read_contexts(counts), often.column("key").to_numpy().view(np.uint64), often.column("n").to_numpy()))
+        read_contexts(counts) if whole else None, None if whole else stored.frequent(nodes), often.column("key").to_numpy().view(np.uint64), often.column("n").to_numpy()))
 
     def run(batches):
         trie, common, logs = model.value.ready()
@@ -259,7 +342,12 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
             for part in text_slices(batch):
                 data, offsets = text_bytes(part.column("text"))
                 keys = grams(data, offsets)
-                score = np.add.reduceat(trie.log10(keys), offsets[:-1] + np.arange(part.num_rows))
+                logs_of = trie.log10(keys)
+                first = offsets[:-1] + np.arange(part.num_rows)
+                open_ = np.flatnonzero(np.isnan(logs_of))
+                logs_of[open_] = 0.0
+                score = np.add.reduceat(logs_of, first)
+                open_lists = np.searchsorted(open_, [*first, len(keys)]).astype(np.int32)
                 hashes, bounds = word_hashes(data, offsets)
                 row = common.find(hashes)
                 hit = np.concatenate([[0], np.cumsum(row >= 0)])
@@ -272,21 +360,29 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
                     [pa.array(np.arange(number, number + part.num_rows)), part.column("doc_id"),
                      pa.array(tokens.astype(np.int64)), pa.array((np.diff(hit[bounds]) + int(end >= 0)).astype(np.int64)),
                      pa.array(np.diff(value[bounds]) + ends), pa.array(score),
-                     pa.ListArray.from_arrays(pa.array(lists), pa.array(to_int64(hashes[rare])))],
-                    names=["row", "doc_id", "n_tokens", "n_known", "known", "score", "rare"])
+                     pa.ListArray.from_arrays(pa.array(lists), pa.array(to_int64(hashes[rare]))),
+                     pa.ListArray.from_arrays(pa.array(open_lists), pa.array(to_int64(keys[open_])))],
+                    names=["row", "doc_id", "n_tokens", "n_known", "known", "score", "rare", "open"])
                 number += part.num_rows
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = settle(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"row long, doc_id {kind}, n_tokens long, n_known long, known double, score double, rare array<bigint>"), "scored")
+        run, f"row long, doc_id {kind}, n_tokens long, n_known long, known double, score double, "
+        "rare array<bigint>, open array<bigint>"), "scored")
     rare = scored.select("row", F.explode("rare").alias("key"))
     found = rare.join(words.select("key", "n"), "key", "left").groupBy("row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_value"),
         F.count_if(F.col("n") > 0).alias("rare_known"))
+    if not whole:
+        symbols = scored.select("row", F.explode("open").alias("key"))
+        values = stored.log10(settle(symbols.select("key").distinct(), "symbols"))
+        joined = symbols.join(values, "key").groupBy("row").agg(F.sum("value").alias("open_value"))
+        scored = scored.join(joined, "row", "left").withColumn(
+            "score", F.col("score") + F.coalesce("open_value", F.lit(0.0))).drop("open_value")
     scale = float(np.log10(size["n"] + 0.5 * (size["v"] + 1)))
     # The end is rare too where no training text exists; its log10 of 0.5 belongs to the sum then.
     ends = 0.0 if size["n"] else float(np.log10(0.5))
-    return scored.drop("rare").join(found, "row", "left").select(
+    return scored.drop("rare", "open").join(found, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(size["n"]).cast("bigint").alias("train_tokens"),
         (F.col("known") + F.coalesce("rare_value", F.lit(0.0)) + ends - F.col("n_tokens") * scale).alias("base_score"), "score")

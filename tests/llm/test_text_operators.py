@@ -325,6 +325,14 @@ def test_ppm(docs):
     assert ppm_scoring.score_documents(docs, F.lit(False)).count() == len(rows)
 
 
+def test_ppm_scores_do_not_depend_on_what_the_workers_hold(docs):
+    training = crf_language.remainder() != 1
+    expected = Counter((r["doc_id"], r["n_tokens"], round(r["score"], 6)) for r in ppm_scoring.score_documents(docs, training).collect())
+    for nodes in (0, 300):
+        got = ppm_scoring.score_documents(docs, training, nodes=nodes).collect()
+        assert Counter((r["doc_id"], r["n_tokens"], round(r["score"], 6)) for r in got) == expected
+
+
 def test_quality_statistics_and_verdicts(docs, spark):
     rows = {r["doc_id"]: r for r in mcd_quality.quality_rules(docs).collect()}
     for i, t in given(docs):
