@@ -9,7 +9,8 @@ change. Vectors travel as bytes (eight bits a component) while the graph is buil
 list are scored on the original vectors in double precision.
 
 Inner products are turned into nearness between stored vectors by one more component, which gives all of them the same
-length; queries have 0 there, so their order of candidates is that of the inner products."""
+length; queries have 0 there, so their order of candidates is that of the inner products. The added component travels
+as a float beside the bytes, so one very long vector does not coarsen the others."""
 
 from __future__ import annotations
 
@@ -44,7 +45,8 @@ def usable(rows: DataFrame, vector: str = "embedding") -> DataFrame:
 
 
 def _coded(vectors: DataFrame) -> DataFrame:
-    """(id, code, scale): the vector, made as long as the longest by a last component, in bytes."""
+    """(id, code, scale): the vector in bytes; behind them two floats, the component that makes it as long as the longest
+    and what that one lacks to the greatest length."""
     longest = vectors.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))).first()[0] or 0.0
 
     def code(batches):
@@ -52,20 +54,29 @@ def _coded(vectors: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             vec = np.stack([x.values.to_numpy() for x in batch.column("vec")])
-            last = np.sqrt(np.maximum(longest - (vec * vec).sum(axis=1), 0.0))
-            whole = np.concatenate([vec, last[:, None]], axis=1)
-            scale = np.abs(whole).max(axis=1) / 127
-            codes = np.rint(whole / scale[:, None]).astype(np.int8)
+            square = (vec * vec).sum(axis=1)
+            last = np.sqrt(np.maximum(longest - square, 0.0))
+            added = np.stack([last, square / (np.sqrt(longest) + last)], axis=1).astype(np.float32)
+            scale = np.abs(vec).max(axis=1) / 127
+            codes = np.rint(vec / scale[:, None]).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale)],
+                [batch.column("id"), pa.array([c.tobytes() + x.tobytes() for c, x in zip(codes, added)], pa.binary()), pa.array(scale)],
                 names=["id", "code", "scale"])
 
     return vectors.mapInArrow(code, "id long, code binary, scale double")
 
 
-def _decoded(codes: pa.Array, scales: pa.Array) -> np.ndarray:
-    raw = np.frombuffer(b"".join(codes.to_pylist()), dtype=np.int8).reshape(len(codes), -1)
-    return raw.astype(np.float32) * scales.to_numpy().astype(np.float32)[:, None]
+def _decoded(codes: pa.Array, scales: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors, and the two floats behind each."""
+    raw = np.frombuffer(b"".join(codes.to_pylist()), dtype=np.uint8).reshape(len(codes), -1)
+    vec = raw[:, :-8].view(np.int8).astype(np.float32) * scales.to_numpy().astype(np.float32)[:, None]
+    return vec, np.ascontiguousarray(raw[:, -8:]).view(np.float32)
+
+
+def _nearness(vec: np.ndarray, added: np.ndarray) -> np.ndarray:
+    """Inner products of all pairs with the added component, less what is the same for the whole row: that can be far
+    greater than the differences between vectors."""
+    return vec @ vec.T - added[:, :1] * added[:, 1]
 
 
 class Offers:
@@ -110,7 +121,7 @@ def _first_lists(coded: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vec = _decoded(batch.column("code"), batch.column("scale"))
+            vec, _ = _decoded(batch.column("code"), batch.column("scale"))
             for p in range(ROTATIONS):
                 rng = np.random.default_rng(p)
                 along = vec @ rng.standard_normal((vec.shape[1], AXES)).astype(np.float32)
@@ -127,8 +138,8 @@ def _first_lists(coded: DataFrame) -> DataFrame:
         offers, held, size = Offers(), [], 0
 
         def block(part: pa.Table):
-            ids, vec = part.column("id").to_numpy(), _decoded(part.column("code").combine_chunks(), part.column("scale"))
-            sims = vec @ vec.T
+            ids = part.column("id").to_numpy()
+            sims = _nearness(*_decoded(part.column("code").combine_chunks(), part.column("scale")))
             np.fill_diagonal(sims, -np.inf)
             keep = min(K // 2, len(ids) - 1)
             if keep > 0:
@@ -219,8 +230,8 @@ def _round(graph: DataFrame, coded: DataFrame, turn: int) -> DataFrame:
     def join(batches):
         offers, rest = Offers(), None
 
-        def neighbourhood(ids, fresh, vec, worst):
-            sims = vec @ vec.T
+        def neighbourhood(ids, fresh, vec, added, worst):
+            sims = _nearness(vec, added)
             useful = fresh[:, None] | fresh[None, :]
             np.fill_diagonal(useful, False)
             sims = np.where(useful & (sims > worst[:, None]), sims, -np.inf)
@@ -235,11 +246,11 @@ def _round(graph: DataFrame, coded: DataFrame, turn: int) -> DataFrame:
             t = t.combine_chunks()
             center, ids = t.column("center").to_numpy(), t.column("member").to_numpy()
             fresh, worst = t.column("fresh").to_numpy(zero_copy_only=False), t.column("worst").to_numpy()
-            vec = _decoded(t.column("code").combine_chunks(), t.column("scale"))
+            vec, added = _decoded(t.column("code").combine_chunks(), t.column("scale"))
             starts = np.flatnonzero(np.concatenate([[True], center[1:] != center[:-1]]))
             for a, b in zip(starts, [*starts[1:], len(center)]):
                 if b - a > 1 and fresh[a:b].any():
-                    neighbourhood(ids[a:b], fresh[a:b], vec[a:b], worst[a:b])
+                    neighbourhood(ids[a:b], fresh[a:b], vec[a:b], added[a:b], worst[a:b])
 
         for batch in batches:
             t = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
@@ -302,9 +313,9 @@ def search(graph: DataFrame, coded: DataFrame, starts: DataFrame, steps: int = S
         seen = np.array(old["seen"].as_py(), dtype=np.int64)
         if scored.num_rows:
             found = scored.column("node").to_numpy()
-            ask = _decoded(known.column("code").combine_chunks(), known.column("scale"))[0]
-            ask[-1] = 0.0  # the added component serves stored vectors only
-            near = _decoded(scored.column("ncode").combine_chunks(), scored.column("nscale")) @ ask
+            # The added component serves stored vectors only.
+            ask = _decoded(known.column("code").combine_chunks(), known.column("scale"))[0][0]
+            near = _decoded(scored.column("ncode").combine_chunks(), scored.column("nscale"))[0] @ ask
             ids, sims = np.concatenate([ids, found]), np.concatenate([sims, near.astype(np.float32)])
             done, seen = np.concatenate([done, np.zeros(len(found), dtype=bool)]), np.concatenate([seen, found])
         order = np.lexsort((ids, -sims))[:BEAM]
@@ -342,8 +353,11 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     graph = build_graph(coded)
     queries = vectors.withColumn("vec_id", F.col("id")).where(is_query).select("id")
     own = coded.join(queries, "id", "left_semi")
-    # A query starts at its own node's list; nodes of a fixed small sample join them, so that no query is stuck.
-    fixed = F.array(*(F.lit(r["id"]) for r in coded.select("id").orderBy(F.xxhash64("id"), "id").limit(EXPAND).collect()))
+    # A query starts at its own node's list; nodes of a fixed small sample join them, so that no query is stuck, and the
+    # longest ones, which few others list but many queries look for.
+    length = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
+    first = [coded.select("id").orderBy(F.xxhash64("id"), "id"), vectors.orderBy(length.desc(), "id").select("id")]
+    fixed = F.array(*(F.lit(i) for i in sorted({r["id"] for rows in first for r in rows.limit(EXPAND).collect()})))
     ways = settle(both_ways(graph), "ways")
     starts = own.join(ways, "id", "left").select(F.col("id").alias("query"), "code", "scale", F.concat(
         F.coalesce("nbr", F.array().cast("array<bigint>")), fixed.cast("array<bigint>")).alias("next"))

@@ -42,6 +42,28 @@ def test_nearest_neighbours(spark):
     assert nn_descent.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("lengths", ["one very long", "heavy tail"])
+def test_nearest_neighbours_of_unequal_lengths(spark, lengths):
+    ship_package(spark)
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(3000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    if lengths == "one very long":
+        vectors[7] *= 300
+    else:
+        vectors *= np.exp(1.2 * rng.normal(size=(3000, 1)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in nn_descent.nearest(frame, F.col("vec_id") % 40 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in range(0, 3000, 40):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & got[q])
+    assert hits / (20 * len(got)) >= 0.95
+
+
 def test_fold_of_deltas_edits_and_regenerations(spark):
     log = [(1, 5, 0, "delta", None, "lo"), (1, 1, 0, "start", "user", None), (1, 4, 0, "delta", None, "Hel"),
            (1, 6, 1, "start", "assistant", None), (1, 7, 1, "delta", None, "bad"), (1, 8, 1, "regenerate", None, None),
