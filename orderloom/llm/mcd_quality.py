@@ -1,17 +1,16 @@
 """Quality rules by robust multivariate outliers.
 
 Base rules come first: enough words, not too many of them in repeated passages. The rest is judged against its own
-language and source: three transformed statistics of a document (log of the mean word length, root of the share of
-symbols, root of the share of repeated words, each shrunk by a few typical words so that short texts don't stand out by
-chance) are compared with a minimum-covariance-determinant estimate. It starts from medians and median deviations,
+language and source: four transformed statistics of a document (log of the mean word length, roots of the shares of
+symbols, of repeated words and of repeated lines) are compared with a minimum-covariance-determinant estimate, to which
+each document's own sampling error is added, so that short texts don't stand out by chance and a group without any
+symbols still has a spread. It starts from medians and median deviations,
 takes the ``support`` share of rows with the least distance, computes mean and covariance of those, and repeats
 (concentration steps); each step is a grouped aggregate and a join with one row per group. Documents whose squared
 Mahalanobis distance passes ``cutoff`` are rejected. All of it is column expressions."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.llm.common import settle, table
@@ -19,15 +18,13 @@ from orderloom.operators.sized import broadcast_if_small
 
 SUPPORT = 0.75
 STEPS = 4
-#: Squared distance that one clean row in a million passes (chi-square, three degrees of freedom).
-CUTOFF = 30.66
-#: Makes the support's covariance estimate that of a normal population: 0.75 / P(chi2(5) <= 0.75-quantile of chi2(3)).
-CONSISTENCY = 1.61
-#: Standard deviations below which a statistic does not tell documents apart.
-FLOORS = (0.06, 0.06, 0.10)
+#: 0.999-quantile of chi-square with four degrees of freedom.
+CUTOFF = 18.47
+#: Makes the support's covariance estimate that of a normal population: 0.75 / P(chi2(6) <= 0.75-quantile of chi2(4)).
+CONSISTENCY = 1.486
 _SPACES = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
-_F = ("f1", "f2", "f3")
+_F = ("f1", "f2", "f3", "f4")
 _PAIRS = [(a, b) for i, a in enumerate(_F) for b in _F[i:]]
 
 
@@ -71,25 +68,32 @@ def text_statistics(docs: DataFrame, window: int = 8) -> DataFrame:
 
 
 def _features() -> list[Column]:
-    return [F.log((F.col("word_chars") + 250.0) / (F.col("n_words") + 50.0)).alias("f1"),
-            F.sqrt(F.col("n_symbols") / (F.col("word_chars") + 250.0)).alias("f2"),
-            F.sqrt(F.col("n_repeat_words") / (F.col("n_words") + 50.0)).alias("f3")]
+    """The statistics, and ``e_...``: the variance that each has by chance. The root of a share varies by 1/4 over the
+    number of what was counted, whatever the share; symbols cling together in words, repeated words in passages of
+    eight, and word lengths vary by about half their mean."""
+    words, chars, lines = (F.greatest(n, F.lit(1)).cast("double") for n in ("n_words", "word_chars", "n_lines"))
+    return [F.log(chars / words).alias("f1"), F.sqrt(F.col("n_symbols") / chars).alias("f2"),
+            F.sqrt(F.col("n_repeat_words") / words).alias("f3"), F.sqrt(F.col("n_dup_lines") / lines).alias("f4"),
+            (0.25 / words).alias("e_f1"), (0.25 / words).alias("e_f2"), (2.0 / words).alias("e_f3"), (0.25 / lines).alias("e_f4")]
 
 
-def _sum(terms) -> Column:
-    return reduce(Column.__add__, terms)
+def _distance(means: list[Column], cov: dict[tuple[str, str], Column]) -> Column:
+    """Squared Mahalanobis distance, by blocks of two; the diagonal has the document's sampling error added, so that it
+    is never singular."""
+    a, b, c, d = (cov[(f, f)] + F.col(f"e_{f}") for f in _F)
+    ab, ac, ad, bc, bd, cd = (cov[pair] for pair in _PAIRS if pair[0] != pair[1])
+    w, x, y, z = (F.col(n) - m for n, m in zip(_F, means))
 
+    def solved(p: Column, q: Column) -> tuple[Column, Column]:
+        return (b * p - ab * q) / (a * b - ab * ab), (a * q - ab * p) / (a * b - ab * ab)
 
-def _distance(means: list[Column], cov: dict[tuple[str, str], Column]) -> Column:
-    """Squared Mahalanobis distance, by the closed inverse of the 3 x 3 matrix; the diagonal is floored, so that it is
-    never singular."""
-    a, b, c = (cov[(f, f)] + floor ** 2 for f, floor in zip(_F, FLOORS))
-    d, e, f = cov[("f1", "f2")], cov[("f1", "f3")], cov[("f2", "f3")]
-    x, y, z = (F.col(n) - m for n, m in zip(_F, means))
-    det = a * (b * c - f * f) - d * (d * c - f * e) + e * (d * f - b * e)
-    top = (x * x * (b * c - f * f) + y * y * (a * c - e * e) + z * z * (a * b - d * d)
-           + 2.0 * (x * y * (e * f - d * c) + x * z * (d * f - b * e) + y * z * (d * e - a * f)))
-    return top / det
+    # What the first two leave of the others and of their covariance.
+    c1, c2 = solved(ac, bc)
+    d1, d2 = solved(ad, bd)
+    c, cd, d = c - (c1 * ac + c2 * bc), cd - (c1 * ad + c2 * bd), d - (d1 * ad + d2 * bd)
+    y, z = y - (c1 * w + c2 * x), z - (d1 * w + d2 * x)
+    first, second = solved(w, x)
+    return w * first + x * second + (y * y * d - 2.0 * y * z * cd + z * z * c) / (c * d - cd * cd)
 
 
 def _with_groups(rows: DataFrame, params: DataFrame) -> DataFrame:
@@ -100,10 +104,10 @@ def _with_groups(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def mcd_distances(rows: DataFrame, fit: Column, steps: int = STEPS, support: float = SUPPORT) -> DataFrame:
-    """``rows`` (lang, source, f1, f2, f3, ...) with ``d2``: squared robust distance within language and source.
+    """``rows`` (lang, source, f1 ... f4, e_f1 ... e_f4, ...) with ``d2``: squared robust distance within language and source.
 
     ``fit`` marks the rows that the estimates are made from. A group without such rows has null distances."""
-    inner = rows.where(fit).select("lang", "source", *_F)
+    inner = rows.where(fit).select("lang", "source", *_F, *(f"e_{f}" for f in _F))
     medians = settle(inner.groupBy("lang", "source").agg(*(F.percentile_approx(f, 0.5, 10000).alias(f"m_{f}") for f in _F)), "medians")
     spread = _with_groups(inner, medians).groupBy("lang", "source").agg(
         *(F.first(f"m_{f}").alias(f"m_{f}") for f in _F),
@@ -132,7 +136,7 @@ def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     (doc_id, text, lang, source).
 
     Null and empty texts have no words and fail the base rules. Rows with a null language or source form groups of
-    their own. A group with too few rows to vary has the floors as its spread. Repeated rows come back as often as they
+    their own. A group with too few rows to vary has only their sampling errors as its spread. Repeated rows come back as often as they
     came in; an empty table gives an empty result."""
     rows = text_statistics(docs).withColumn(
         "base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))

@@ -358,6 +358,21 @@ def test_quality_statistics_and_verdicts(docs, spark):
     assert mcd_quality.quality_rules(docs.limit(0)).count() == 0
 
 
+def test_quality_sees_symbols_and_repeated_lines_in_short_texts(spark):
+    rng = np.random.default_rng(11)
+
+    def lines(n):
+        return "\n".join(" ".join(rng.choice(WORDS[:12], 6)) + f" n{k} v{rng.integers(10**9)}" for k in range(n))
+
+    fine = [(k, lines(int(rng.integers(4, 60)))) for k in range(80)]
+    odd = [(1000 + k, " ".join(f"{w}{'#' * (j % 2)}" for j, w in enumerate(lines(16).split()))) for k in range(4)]
+    odd += [(2000 + k, lines(8).replace("\n", "\nread on here\n") + "\nread on here") for k in range(4)]
+    frame = spark.createDataFrame([(*r, "en", "s") for r in fine + odd], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: (r["kept"], r["base_failed"]) for r in mcd_quality.quality_rules(frame).collect()}
+    assert all(got[i] == (True, False) for i, _ in fine)
+    assert all(got[i] == (False, False) for i, _ in odd)
+
+
 def test_byte_bpe(docs):
     path = public_tokenizers.path(byte_bpe.VOCABULARY)
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
