@@ -1,7 +1,7 @@
 """Main text of HTML pages by consensus host paths.
 
-Every page's containers are scored by the text that their blocks hold outside links and boilerplate. The best one votes
-for its generalised path (tags with their classes, digits dropped) among the pages of its host; votes are counted in
+Every page's containers are scored by the text that their blocks hold outside links and boilerplate. The best one, widened
+to what it is a part of, votes for its generalised path (tags with their classes, digits dropped) among the pages of its host; votes are counted in
 Spark. Each page is then extracted anew with the path that has most votes among those it contains, so a page whose own
 best container is misled by a long notice follows its host's template."""
 
@@ -36,6 +36,8 @@ _BLOCKS = frozenset(
     "h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul "
     "caption".split())
 _CONTAINERS = frozenset("article body div main section td blockquote html dd center".split())
+#: Parts of a text; they and the text around them belong together.
+_PARTS = frozenset("section td blockquote dd".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
               "th": {"td", "th"}, "option": {"option"}}
 _WORD = re.compile(r"[a-z]+")
@@ -72,11 +74,12 @@ def _attributes(name: str, raw: str) -> tuple[str, bool]:
     return step + "".join(f".{c}" for c in sorted(classes)), odd
 
 
-def read_blocks(page: str) -> tuple[list[Block], list[str]]:
+def read_blocks(page: str) -> tuple[list[Block], list[str], list[str]]:
     """Text blocks outside boilerplate, each with the numbers of the containers around it from outside in, and the
-    containers' paths by number."""
+    containers' paths and tags by number."""
     stack: list[tuple[str, str, bool, int]] = []  # name, path, boilerplate, container number or -1
     paths: list[str] = []
+    tags: list[str] = []
     blocks: list[Block] = []
     current: Block | None = None
     links = at = 0
@@ -141,14 +144,15 @@ def read_blocks(page: str) -> tuple[list[Block], list[str]]:
         if name in _CONTAINERS:
             number = len(paths)
             paths.append(path)
+            tags.append(name)
         links += name == "a"
         stack.append((name, path, odd or bool(stack and stack[-1][2]), number))
-    return blocks, paths
+    return blocks, paths, tags
 
 
-def best_path(blocks: list[Block], paths: list[str]) -> str | None:
-    """Path of the container with the highest score. A block counts its characters outside links for the container it
-    stands in, and half, a third ... for those further out; ties go to the smaller path."""
+def best_path(blocks: list[Block], paths: list[str], tags: list[str]) -> str | None:
+    """Path of the container with the highest score, widened. A block counts its characters outside links for the
+    container it stands in, and half, a third ... for those further out; ties go to the smaller path."""
     scores: dict[int, float] = {}
     for block in blocks:
         size = len(block.text())
@@ -158,14 +162,37 @@ def best_path(blocks: list[Block], paths: list[str]) -> str | None:
     totals: dict[str, float] = {}
     for number, score in scores.items():
         totals[paths[number]] = totals.get(paths[number], 0.0) + score
-    return min(totals, key=lambda p: (-totals[p], p)) if totals else None
+    if not totals:
+        return None
+    best = min(totals, key=lambda p: (-totals[p], p))
+    return _widened(best, max((n for n in scores if paths[n] == best), key=lambda n: (scores[n], -n)), blocks, paths, tags)
+
+
+def _widened(path: str, number: int, blocks: list[Block], paths: list[str], tags: list[str]) -> str:
+    """Path of the outermost container around ``number`` that adds text of the article to what stands at ``path``.
+
+    An article or main does, and so does what a quote or a definition stands in. Any other does if what it adds stands
+    in it directly or in its parts (sections, cells ...) and is no list of links; other containers beside the best one
+    may be boilerplate that nothing marks."""
+    around = next(b.containers for b in blocks if number in b.containers)
+    tag = tags[number]
+    for outer in reversed(around[:around.index(number)]):
+        added = [b for b in blocks if outer in b.containers and not any(paths[n] == path for n in b.containers)]
+        sizes = [len(b.text()) for b in added]
+        if tags[outer] not in ("article", "main") and tag not in ("blockquote", "dd"):
+            if not added or 2 * sum(min(b.linked, n) for b, n in zip(added, sizes)) >= sum(sizes):
+                continue
+            if any(tags[n] not in _PARTS for b in added for n in b.containers[b.containers.index(outer) + 1:]):
+                continue
+        path, tag = paths[outer], tags[outer]
+    return path
 
 
 def main_text(page: str | None, winners: list[str] | None) -> str:
     """Text of the blocks in the containers at the first of ``winners`` that the page has, else at its own best path."""
-    blocks, paths = read_blocks(page or "")
+    blocks, paths, tags = read_blocks(page or "")
     here = {paths[n] for b in blocks for n in b.containers}
-    path = next((p for p in winners or () if p in here), None) or best_path(blocks, paths)
+    path = next((p for p in winners or () if p in here), None) or best_path(blocks, paths, tags)
     chosen = (b.text() for b in blocks if path is None or any(paths[n] == path for n in b.containers))
     return "\n".join(text for text in chosen if text)
 

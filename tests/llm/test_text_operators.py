@@ -143,6 +143,29 @@ def test_a_host_outvotes_a_page_misled_by_a_notice(spark):
     assert got == {n: f"Article text {n} of this page." for n in range(10)}
 
 
+LONG = "Many words that tell what happened there, and then some more of them. " * 6
+SECTIONED = [
+    ("<article><h1>Title</h1><p>The lead.</p><section><p>{0}</p></section><section><p>{0}</p></section>Last words.</article>",
+     ["Title", "The lead.", LONG, LONG, "Last words."]),
+    ("<main><h1>Title</h1><article><p>Short.</p><blockquote><p>{0}</p></blockquote><p>Said so.</p></article></main>",
+     ["Title", "Short.", LONG, "Said so."]),
+    ("<div class=story><p>Before.</p><table><tr><td>{0}</td><td>{0}</td></tr></table><p>After.</p></div>",
+     ["Before.", LONG, LONG, "After."]),
+    ("<div class=story><p>Before.</p><dl><dt>Term</dt><dd>{0}</dd></dl></div>", ["Before.", "Term", LONG]),
+    ("<div class=story><h1>Title</h1><section><p>{0}</p></section><section class=b><p>{0}</p></section></div>",
+     ["Title", LONG, LONG])]
+
+
+@pytest.mark.parametrize("inside, blocks", SECTIONED)
+def test_sections_quotes_and_cells_do_not_stand_for_the_article(spark, inside, blocks):
+    ship_package(spark)
+    page = ("<body><nav><a href=/>Home</a></nav><div class=links><a href=/a>One link here</a></div>" + inside.format(LONG)
+            + "<div class=box><p>Read our terms.</p></div><footer>End</footer></body>")
+    pages = spark.createDataFrame([(n, "http://h/", page) for n in range(3)], "page_id long, url string, html string")
+    got = {r["text"] for r in html_consensus.extract_pages(pages).collect()}
+    assert got == {"\n".join(b.strip() for b in blocks)}
+
+
 def least_capacity(sizes, shards):
     capacity = max(max(sizes), -(-sum(sizes) // shards))
     while True:
