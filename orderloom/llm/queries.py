@@ -6,16 +6,20 @@ from orderloom.llm.bm25_packing import op5_bm25_packing
 from orderloom.llm.byte_bpe import op10_byte_bpe
 from orderloom.llm.chat_events import op9_chat_events
 from orderloom.llm.crf_language import op6_crf_language
+from orderloom.llm.cube_mixing import op12_cube_mixing
+from orderloom.llm.fenwick_middle import ORACLE as FENWICK_MIDDLE, op13_fenwick_middle
 from orderloom.llm.html_consensus import op2_html_consensus
 from orderloom.llm.mcd_quality import op8_mcd_quality
 from orderloom.llm.minimax_shards import op3_minimax_shards
 from orderloom.llm.ngram_jaccard import op1_ngram_jaccard
 from orderloom.llm.nn_descent import op4_nn_descent
 from orderloom.llm.ppm_scoring import op7_ppm_scoring
+from orderloom.llm.residue_negatives import ORACLE as RESIDUE_NEGATIVES, op11_residue_negatives
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_html_consensus, op3_minimax_shards, op4_nn_descent, op5_bm25_packing, op6_crf_language,
-    op7_ppm_scoring, op8_mcd_quality, op9_chat_events, op10_byte_bpe)}
+    op7_ppm_scoring, op8_mcd_quality, op9_chat_events, op10_byte_bpe, op11_residue_negatives,
+    op12_cube_mixing, op13_fenwick_middle)}
 
 #: Digests of the reconstructed log are those of the given turns, which SQL can state. ``formatted_chars`` counts the
 #: template: 6 + role + 2 before, 8 after a text, and one more for each escaped character.
@@ -33,4 +37,4 @@ select conv_id, count(*) as n_turns,
            as formatted_chars
 from turns group by conv_id"""
 
-ORACLES = {"op9_chat_events": _CHAT}
+ORACLES = {"op9_chat_events": _CHAT, "op11_residue_negatives": RESIDUE_NEGATIVES, "op13_fenwick_middle": FENWICK_MIDDLE}
