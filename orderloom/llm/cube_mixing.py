@@ -8,9 +8,10 @@ every expectation, so it decides at least one document; the longest are decided
 for them.
 
 Documents are dealt into chunks of bounded size by a hash of their own values, and chunks fly side by side; what a chunk
-leaves undecided, two short documents at most, meets what its neighbours left, and so on up to one chunk a source. The
-two documents that are then left are the landing problem: the constraint on documents is given up first, then that on
-tokens. Equal input gives equal draws, however it is laid out in files."""
+leaves undecided, two documents at most, meets what its neighbours left, and so on. A source's first chunk waits and
+flies last, with what all others left: documents too long for their own chunk are decided while it makes up for them.
+The two documents that are then left are the landing problem: the constraint on documents is given up first, then that
+on tokens. Equal input gives equal draws, however it is laid out in files."""
 
 from __future__ import annotations
 
@@ -168,13 +169,15 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
     draw = F.xxhash64("doc_id", "number", "size", "copy")
     units = units.select("number", F.pmod(draw, "chunks").alias("chunk"), "doc_id", "size", "chance", draw.alias("draw"), "copy")
     decided, open_ = units.where("chance <= 0"), units.where("chance > 0")
+    first, open_ = open_.where("chunk = 0"), open_.where("chunk > 0")
     chunks = -(-largest // CHUNK)
-    while chunks:
-        flown = open_.groupBy("number", "chunk").applyInArrow(_flown(land=chunks == 1), units.schema)
-        flown = settle(flown, "flown")
+    while chunks > 1:
+        flown = settle(open_.groupBy("number", "chunk").applyInArrow(_flown(land=False), units.schema), "flown")
         decided = decided.union(flown.where("chance in (0, 1)"))
         open_ = flown.where("chance not in (0, 1)").withColumn("chunk", F.expr(f"chunk div {MEET}"))
-        chunks = -(-chunks // MEET) if chunks > 1 else 0
+        chunks = -(-chunks // MEET)
+    last = first.union(open_.withColumn("chunk", F.lit(0).cast("bigint")))
+    decided = decided.union(settle(last.groupBy("number", "chunk").applyInArrow(_flown(land=True), units.schema), "flown"))
     taken = (F.floor(often) + F.col("chance")).cast("bigint") * F.col("size")
     return decided.join(broadcast_if_small(sources), "number").select(
         "doc_id", "size", "source_size", "target", taken.alias("taken"))
