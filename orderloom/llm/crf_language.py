@@ -3,8 +3,8 @@
 Words are a chain, languages their labels. A word's features are its byte trigrams with the word's borders, prefixes
 and suffixes of one to three bytes, and the languages in whose lexicon it stands; transitions between labels are
 learned too. Training sequences are made of stretches of several labelled texts, so the model sees switches of language
-within a sequence. It is fitted on the driver on a sample of at most ``SAMPLE`` labelled texts per language; whole texts
-of the whole table are then labelled in parallel by forward-backward. Long chains are taken in blocks whose transfer
+within a sequence. It is fitted on the driver on a sample of at most ``SAMPLE`` labelled texts per language, of each a
+stretch of ``SAMPLE_CHARS`` characters; whole texts of the whole table are then labelled in parallel by forward-backward. Long chains are taken in blocks whose transfer
 matrices are multiplied side by side and then chained, which is exact."""
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from orderloom.llm.common import mixed, table, text_bytes, text_slices, word_hashes
 from orderloom.operators.sized import broadcast_if_small
 
-#: Texts per language that the model is fitted on, the longest of them in characters.
-SAMPLE, SAMPLE_CHARS = 400, 20_000
+#: Texts per language that the model is fitted on, and characters that each of them gives at most.
+SAMPLE, SAMPLE_CHARS = 400, 4_000
 #: Words of training sequences, and of one text's stretch within them at most.
 CHAIN, STRETCHES, CHAINS = 24, 3, 6000
 BITS = 17
@@ -75,29 +75,47 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return grams, first, affixes
 
 
+class Lexicon:
+    """Hashes of words and, for each, the labels whose frequent words have it."""
+
+    def __init__(self, words: list[np.ndarray]):
+        """``words``: each label's."""
+        held = np.concatenate([np.zeros(0, dtype=np.uint64), *words])
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        order = np.lexsort((owner, held))
+        self.keys, counts = np.unique(held, return_counts=True)
+        self.starts, self.owners = np.concatenate([[0], np.cumsum(counts)]), owner[order]
+
+    def pairs(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among ``words``, label), by place, for each lexicon that a word stands in."""
+        if not len(self.keys):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, words), len(self.keys) - 1)
+        found = np.flatnonzero(self.keys[at] == words)
+        first = self.starts[at[found]]
+        count = self.starts[at[found] + 1] - first
+        return np.repeat(found, count), self.owners[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
+
 class Model:
-    def __init__(self, labels: list[str], lexicon: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, labels: list[str], lexicon: Lexicon):
         self.labels, self.lexicon = labels, lexicon
         n = len(labels)
         self.weights = np.zeros((1 << BITS, n), dtype=np.float32)
-        self.entries = np.zeros((1 << n if n < 12 else 1, n), dtype=np.float32)
+        self.entries = np.zeros((n, n), dtype=np.float32)
         self.transitions = np.zeros((n, n))
 
-    def lexical(self, words: np.ndarray) -> np.ndarray:
-        """For each word's hash the set of languages, as bits, whose lexicon has it."""
-        keys, sets = self.lexicon
-        if not len(keys):
-            return np.zeros(len(words), dtype=np.int64)
-        at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-        return np.where(keys[at] == words, sets[at], 0) % len(self.entries)
-
     def emissions(self, grams, first, affixes, lexical) -> np.ndarray:
         if not len(first):
             return np.zeros((0, len(self.labels)))
         score = np.add.reduceat(self.weights[grams], first, axis=0)
         for k in range(affixes.shape[1]):
             score += self.weights[affixes[:, k]]
-        return (score + self.entries[lexical]).astype(np.float64)
+        word, owner = lexical
+        if len(word):
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            score[word[starts]] += np.add.reduceat(self.entries[owner], starts, axis=0)
+        return score.astype(np.float64)
 
     def posteriors(self, emissions: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Marginal probabilities of each word's labels; ``bounds``: where each text's words begin, and the end."""
@@ -146,59 +164,87 @@ class Model:
         return out / out.sum(axis=1, keepdims=True)
 
 
+class Words:
+    """The words of labelled texts in order of the labels: their bytes and places, and where each label's begin."""
+
+    def __init__(self, texts: list[str], langs: list[str], labels: list[str]):
+        order = sorted(range(len(texts)), key=lambda i: langs[i])
+        batch = pa.RecordBatch.from_arrays([pa.array([texts[i] for i in order], pa.large_string())], names=["text"])
+        owner, done, base = [labels.index(langs[i]) for i in order], 0, 0
+        counts = np.zeros(len(labels), dtype=np.int64)
+        parts, starts, ends, hashes = [], [], [], []
+        for part in text_slices(batch):
+            data, offsets = text_bytes(part.column("text"))
+            words, bounds = word_hashes(data, offsets)
+            first, last = word_places(data, offsets)
+            np.add.at(counts, owner[done:done + part.num_rows], np.diff(bounds))
+            parts.append(data.tobytes())
+            starts.append(first + base)
+            ends.append(last + base + 1)
+            hashes.append(words)
+            done, base = done + part.num_rows, base + len(data)
+        self.data = b"".join(parts)
+        self.starts, self.ends = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (starts, ends))
+        self.bounds = np.concatenate([[0], np.cumsum(counts)])
+        hashes = np.concatenate([np.zeros(0, dtype=np.uint64), *hashes])
+        self.lexicon = Lexicon([_frequent(hashes[a:b]) for a, b in zip(self.bounds[:-1], self.bounds[1:])])
+
+    def drawn(self, rng: np.random.Generator, chains: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word, label) of training chains: stretches of a label's words, at times followed by another label's."""
+        stretch, filled, places, labels = CHAIN // STRETCHES, np.flatnonzero(np.diff(self.bounds)), [], []
+        for _ in range(chains):
+            own = rng.choice(filled)
+            for _ in range(STRETCHES):
+                if rng.random() < 0.3:
+                    own = rng.choice(filled)
+                a, b = self.bounds[own], self.bounds[own + 1]
+                at = a + int(rng.integers(max(1, b - a - stretch)))
+                places.append(np.minimum(np.arange(at, at + stretch), b - 1))
+                labels.append(np.full(stretch, own))
+        return np.concatenate(places), np.concatenate(labels)
+
+    def features(self, places: np.ndarray):
+        """Features of some words, as :meth:`Model.emissions` takes them."""
+        line = b" ".join([self.data[a:b] for a, b in zip(self.starts[places].tolist(), self.ends[places].tolist())])
+        data, offsets = np.frombuffer(line, dtype=np.uint8), np.array([0, len(line)])
+        return *features(data, offsets), self.lexicon.pairs(word_hashes(data, offsets)[0])
+
+
+def _frequent(words: np.ndarray) -> np.ndarray:
+    """A label's ``LEXICON`` most frequent words of those that occur twice."""
+    distinct, counts = np.unique(words, return_counts=True)
+    often = np.argsort(-counts, kind="stable")[:LEXICON]
+    return distinct[often[counts[often] > 1]]
+
+
 def fit(texts: list[str], langs: list[str], rate: float = 0.3, batch: int = 64, seed: int = 7) -> Model:
-    """CRF of the given labelled texts: log-likelihood by adaptive gradient steps."""
+    """CRF of the given labelled texts: log-likelihood by adaptive gradient steps. Features are made for the words of
+    one batch of chains at a time."""
     labels = sorted(set(langs))
-    number = {x: i for i, x in enumerate(labels)}
-    data, offsets = text_bytes(pa.array(texts, pa.string()))
-    words, bounds = word_hashes(data, offsets)
-    gold = np.repeat([number[x] for x in langs], np.diff(bounds)) if len(texts) else np.zeros(0, dtype=int)
-    sets: dict[int, int] = {}
-    for label in range(len(labels) if len(labels) < 12 else 0):
-        distinct, counts = np.unique(words[gold == label], return_counts=True)
-        often = np.argsort(-counts, kind="stable")[:LEXICON]
-        for h in distinct[often[counts[often] > 1]].tolist():
-            sets[h] = sets.get(h, 0) | 1 << label
-    keys = np.array(sorted(sets), dtype=np.uint64)
-    model = Model(labels, (keys, np.array([sets[k] for k in keys.tolist()], dtype=np.int64)))
-    if not len(words) or len(labels) < 2:
+    words = Words(texts, langs, labels)
+    model = Model(labels, words.lexicon)
+    if not len(words.starts) or len(labels) < 2:
         return model
-    grams, first, affixes = features(data, offsets)
-    lexical = model.lexical(words)
-    ends = np.concatenate([first[1:], [len(grams)]])
     rng = np.random.default_rng(seed)
-    stretch = CHAIN // STRETCHES
-    by_label = [np.flatnonzero(gold == i) for i in range(len(labels))]
-    by_label = [x for x in by_label if len(x)]
     squares = [np.full_like(model.weights, 1e-3), np.full_like(model.entries, 1e-3), np.full_like(model.transitions, 1e-3)]
     for _ in range(CHAINS // batch):
-        rows = []
-        for _ in range(batch):
-            own = by_label[rng.integers(len(by_label))]
-            for _ in range(STRETCHES):
-                if rng.random() < 0.3:
-                    own = by_label[rng.integers(len(by_label))]
-                at = int(rng.integers(max(1, len(own) - stretch)))
-                rows.append(own[np.minimum(np.arange(at, at + stretch), len(own) - 1)])
-        take = np.concatenate(rows)
-        size = ends[take] - first[take]
-        starts = np.concatenate([[0], np.cumsum(size)[:-1]])
-        flat = np.repeat(first[take] - starts, size) + np.arange(size.sum())
-        own = grams[flat], starts, affixes[take], lexical[take]
-        chain = np.arange(0, len(take) + 1, CHAIN)
-        right = np.zeros((len(take), len(labels)))
-        right[np.arange(len(take)), gold[take]] = 1
-        error = right - model.posteriors(model.emissions(*own), chain)
+        places, gold = words.drawn(rng, batch)
+        grams, first, affixes, lexical = words.features(places)
+        emissions = model.emissions(grams, first, affixes, lexical)
+        chain = np.arange(0, len(places) + 1, CHAIN)
+        right = np.zeros((len(places), len(labels)))
+        right[np.arange(len(places)), gold] = 1
+        error = right - model.posteriors(emissions, chain)
         gradient = np.zeros_like(model.weights)
-        np.add.at(gradient, own[0], np.repeat(error, size, axis=0))
+        np.add.at(gradient, grams, np.repeat(error, np.diff(np.concatenate([first, [len(grams)]])), axis=0))
         for k in range(affixes.shape[1]):
-            np.add.at(gradient, own[2][:, k], error)
+            np.add.at(gradient, affixes[:, k], error)
         entries = np.zeros_like(model.entries)
-        np.add.at(entries, own[3], error)
-        labelled = gold[take].reshape(-1, CHAIN)
+        np.add.at(entries, lexical[1], error[lexical[0]])
+        labelled = gold.reshape(-1, CHAIN)
         moves = np.zeros_like(model.transitions)
         np.add.at(moves, (labelled[:, :-1].ravel(), labelled[:, 1:].ravel()), 1.0)
-        moves -= _expected_moves(model, model.emissions(*own), len(labels))
+        moves -= _expected_moves(model, emissions, len(labels))
         for value, slope, square in zip((model.weights, model.entries, model.transitions), (gradient, entries, moves), squares):
             slope = slope / batch - 1e-4 * value
             square += slope * slope
@@ -226,11 +272,13 @@ def _expected_moves(model: Model, emissions: np.ndarray, n: int) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
-    """(text, lang): at most ``per_language`` labelled texts a language, one for each value of a hash of the row; of
-    texts up to ``SAMPLE_CHARS`` long. Rows with null text or language are left out."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).select(
+    """(text, lang): at most ``per_language`` labelled texts a language, one for each value of a hash of the row; of a
+    longer text a stretch of ``SAMPLE_CHARS``, from where its hash says. Rows with null text or language are left out."""
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text")).withColumn("slot", F.pmod("h", F.lit(per_language)))
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    rows = rows.withColumn("text", F.substring("text", (F.pmod("h", spare) + 1).cast("int"), F.lit(SAMPLE_CHARS)))
     chosen = rows.groupBy("lang", "slot").agg(F.min("h").alias("h"))
     found = rows.join(broadcast_if_small(chosen), ["lang", "slot", "h"], "left_semi")
     return found.dropDuplicates(["lang", "h"]).select("text", "lang")
@@ -257,7 +305,7 @@ def label_documents(docs: DataFrame, training: DataFrame, keep: tuple[str, ...]
                 texts = part.column(_TEXT)
                 data, offsets = text_bytes(texts)
                 words, bounds = word_hashes(data, offsets)
-                chances = own.posteriors(own.emissions(*features(data, offsets), own.lexical(words)), bounds) \
+                chances = own.posteriors(own.emissions(*features(data, offsets), own.lexicon.pairs(words)), bounds) \
                     if own.labels else np.zeros((len(words), 0))
                 known = np.asarray(pc.fill_null(pc.match_substring_regex(texts, _LETTER), False)) & (np.diff(bounds) > 0)
                 known &= len(own.labels) > 0
