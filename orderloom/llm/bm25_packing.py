@@ -8,10 +8,11 @@ shard are laid in windows of powers of two, which need no padding."""
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import zlib
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import mixed, settle, table, text_slices, to_int64
+from orderloom.llm.common import SLICE_BYTES, mixed, settle, span_hashes, table, text_bytes, text_slices, to_int64
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
@@ -27,69 +28,158 @@ END = 1
 #: Tokens that one index holds, and how many of a seed's terms ask it.
 SHARD_TOKENS, QUERY_TERMS = 1 << 20, 16
 K1, B = 1.2, 0.75
-REMEMBERED, LONGEST = 1_000_000, 96
-#: New words of letters that are encoded in one line.
+#: Parts of words, and their ids, that a worker remembers.
+REMEMBERED, REMEMBERED_IDS = 1_500_000, 8_000_000
+#: New runs that are encoded in one line.
 TOGETHER = 64
 #: Neighbours that are ranked first; the others only if these don't fill the window.
 FIRST = 48
-_MARKS = string.punctuation.replace("'", "").encode()
+_MARK, _LETTER, _DIGIT, _ODD, _SPACE = range(5)
+_KINDS = np.full(256, _MARK, dtype=np.uint8)
+_KINDS[128:] = _KINDS[ord("'")] = _ODD
+_KINDS[list(string.ascii_letters.encode())] = _LETTER
+_KINDS[list(string.digits.encode())] = _DIGIT
+_KINDS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _SPACE
+_SPACES = _KINDS == _SPACE
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that parts at white space; words met before are answered from a bounded memory."""
+    """Ids of texts by a tokenizer that parts at white space, then into runs of letters, single digits and runs of marks.
+
+    Texts are parted here as far as that is plain: a word of ASCII without an apostrophe into its runs; any other word
+    stays whole, but for ASCII marks behind an ASCII letter or digit at its end, which are a run of their own whatever
+    stands before. ASCII letters have the ids of their small forms. Parts are told by 64-bit hashes; those met before are
+    answered from a bounded table, new ones go to the library, runs many at a time in one line."""
 
     def __init__(self, body: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_str(body)
         self.model.encode_special_tokens = True
-        self.seen: dict[bytes, bytes] = {}
+        # Small runs of ASCII have nothing left to normalize or to part.
+        plain = json.loads(body) | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+        self.runs = Tokenizer.from_str(json.dumps(plain))
         vocabulary = self.model.get_vocab(with_added_tokens=False)
         #: Ids that end a run of letters, digits or marks; none, if the vocabulary doesn't tell.
         self.last = np.zeros(max(self.model.get_vocab_size(), END + 1), dtype=bool)
         self.last[[number for piece, number in vocabulary.items() if piece.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.first, self.count = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.held = np.zeros(0, dtype=np.uint32)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = text.encode().split()
-        found = list(map(self.seen.get, words))
-        if None in found:
-            found = self._learned(words, found)
-        return b"".join(found)
-
-    def _learned(self, words: list[bytes], found: list[bytes | None]) -> list[bytes]:
-        """Marks after a letter or digit at a word's end are tokens of their own, so the word is looked up without them;
-        and ASCII letters have the ids of their small forms."""
-        parts, new = {}, {}
-        for word, ids in zip(words, found):
-            if ids is None and word not in parts:
-                core = word.rstrip(_MARKS)
-                if not core or len(core) == len(word) or not core.decode()[-1].isalnum():
-                    core = word
-                parts[word] = core.lower() if core.isascii() else core, word[len(core):]
-                for part in parts[word]:
-                    if part and part not in self.seen:
-                        new[part] = b""
-        if new:
-            texts = {part: part.decode() for part in new}
-            letters = [part for part in new if texts[part].isalpha()]
-            for a in range(0, len(letters), TOGETHER):
-                some = letters[a:a + TOGETHER]
-                line = self.model.encode_batch_fast([" ".join(texts[p] for p in some)], add_special_tokens=False)[0].ids
-                ends = (np.flatnonzero(self.last[line]) + 1).tolist()
-                if len(ends) == len(some) and ends[-1] == len(line):  # one run of letters each, as expected
-                    body = array("I", line).tobytes()
-                    new.update((p, body[4 * x:4 * y]) for p, x, y in zip(some, [0, *ends], ends))
-            rest = [part for part, ids in new.items() if not ids]
-            for part, encoded in zip(rest, self.model.encode_batch_fast([texts[p] for p in rest], add_special_tokens=False)):
-                new[part] = array("I", encoded.ids).tobytes()
-        known = {**{p: self.seen[p] for pair in parts.values() for p in pair if p and p not in new}, **new}
-        fresh = {word: known[core] + (known[rest] if rest else b"") for word, (core, rest) in parts.items()}
-        found = [fresh[w] if ids is None else ids for w, ids in zip(words, found)]
-        if len(self.seen) + len(fresh) + len(new) > REMEMBERED:
-            self.seen.clear()
-        self.seen.update((w, ids) for x in (new, fresh) for w, ids in x.items() if len(w) <= LONGEST)
-        return found
+        return self.texts_ids(pa.array([text], pa.string()))[0][:-1].astype("<u4").tobytes()
+
+    def texts_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids, each text's followed by the end mark, and where each text's begin and the last ends."""
+        data, offsets = text_bytes(texts)
+        parts, sizes = [], np.zeros(len(texts), dtype=np.int64)
+        for a, b in _stretches(data, offsets):
+            inner = np.clip(offsets, a, b) - a
+            found, counts = self._parts_ids(data[a:b], inner)
+            parts.append(found)
+            sizes += counts
+        bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
+        out = np.empty(bounds[-1], dtype=np.uint32)
+        inside = np.ones(len(out), dtype=bool)
+        inside[bounds[1:] - 1] = False
+        out[inside] = np.concatenate([np.zeros(0, dtype=np.uint32), *parts])
+        out[bounds[1:] - 1] = END
+        return out, bounds
+
+    def _parts_ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of concatenated texts, and how many each has."""
+        starts, ends, whole = word_parts(data, offsets)
+        if not len(starts):
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets) - 1, dtype=np.int64)
+        hashes, example, number = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.keys) + len(hashes) > REMEMBERED or len(self.held) > REMEMBERED_IDS:
+            self._forget()
+        at = np.searchsorted(self.keys, hashes)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == hashes[known]
+        if not known.all():
+            new, body = example[~known], data.tobytes().lower()  # of ASCII letters only
+            self._learn(hashes[~known], [body[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())], whole[new])
+            at = np.searchsorted(self.keys, hashes)
+        count = self.count[at][number]
+        stops = np.cumsum(count)
+        ids = self.held[np.repeat(self.first[at][number] - stops + count, count) + np.arange(stops[-1])]
+        stops = np.concatenate([[0], stops])
+        return ids, np.diff(stops[np.searchsorted(starts, offsets)])
+
+    def _learn(self, hashes: np.ndarray, parts: list[bytes], whole: np.ndarray) -> None:
+        texts = [part.decode() for part in parts]
+        first, count = np.zeros(len(texts), dtype=np.int64), np.full(len(texts), -1)
+        held, end = [self.held], len(self.held)
+        plain = np.flatnonzero(~whole).tolist()
+        words = [i for i in np.flatnonzero(whole).tolist() if texts[i].isalpha()]
+        for model, runs in ((self.runs, plain), (self.model, words)):
+            some = [runs[a:a + TOGETHER] for a in range(0, len(runs), TOGETHER)]
+            lines = model.encode_batch_fast([" ".join([texts[i] for i in x]) for x in some], add_special_tokens=False)
+            for mine, line in zip(some, lines):
+                line = np.array(line.ids, dtype=np.uint32)
+                ends = np.flatnonzero(self.last[line]) + 1
+                if len(ends) == len(mine) and ends[-1] == len(line):  # one run each, as expected
+                    first[mine] = end + np.concatenate([[0], ends[:-1]])
+                    count[mine] = np.diff(ends, prepend=0)
+                    held.append(line)
+                    end += len(line)
+        rest = np.flatnonzero(count < 0).tolist()
+        for i, encoded in zip(rest, self.model.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            held.append(np.array(encoded.ids, dtype=np.uint32))
+            first[i], count[i] = end, len(held[-1])
+            end += count[i]
+        keys = np.concatenate([self.keys, hashes])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.first, self.count = np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+        self.held = np.concatenate(held)
+
+
+def _stretches(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Spans of about ``SLICE_BYTES`` that end at white space or with a text."""
+    a = 0
+    while a < len(data):
+        b = min(a + SLICE_BYTES, len(data))
+        while b < len(data) and not _SPACES[data[b - 1]]:
+            later = np.flatnonzero(_SPACES[data[b:b + SLICE_BYTES]])
+            text_end = offsets[np.searchsorted(offsets, b)]
+            b = min(int(text_end), b + (int(later[0]) + 1 if len(later) else SLICE_BYTES), len(data))
+            if b == text_end:
+                break
+        yield a, b
+        a = b
+
+
+def word_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte of each part of the texts' words and the byte behind its last; and whether it is a word kept whole."""
+    kind = _KINDS[data]
+    inside = np.flatnonzero(kind != _SPACE)
+    if not len(inside):
+        return inside, inside, np.zeros(0, dtype=bool)
+    kind = kind[inside]
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[offsets] = True
+    opens = np.concatenate([[True], (np.diff(inside) > 1) | cut[inside[1:]]])
+    words = np.flatnonzero(opens)
+    sizes = np.diff(np.concatenate([words, [len(inside)]]))
+    odd = np.add.reduceat((kind == _ODD).astype(np.int64), words) > 0
+    changes = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)])
+    part = opens | (changes & ~np.repeat(odd, sizes))
+    kept = words[odd]
+    core = np.maximum.reduceat(np.where(kind != _MARK, np.arange(len(kind)), -1), words)[odd]  # the last byte but marks
+    marks = core + 1
+    parted = (marks < kept + sizes[odd]) & (kind[core] != _ODD)
+    part[marks[parted]] = True
+    at = np.flatnonzero(part)
+    whole = np.zeros(len(kind), dtype=bool)
+    whole[kept] = True
+    return inside[at], inside[np.concatenate([at[1:], [len(inside)]]) - 1] + 1, whole[at]
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
@@ -109,15 +199,12 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
         hash1, hash2 = (to_int64(mixed(numbers + np.uint64(c)) >> np.uint64(1)) for c in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
         for batch in batches:
             for part in text_slices(batch):
-                near1, near2, ids = [], [], []
-                for text in part.column("text").to_pylist():
-                    tokens = np.frombuffer((own.ids(text) if text else b"") + END.to_bytes(4, "little"), dtype="<u4")
-                    near1.append(hash1[tokens].min())
-                    near2.append(hash2[tokens].min())
-                    ids.append(tokens.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(near1, pa.int64()), pa.array(near2, pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "near1", "near2", "ids"])
+                ids, bounds = own.texts_ids(part.column("text"))
+                near = [pa.array(np.minimum.reduceat(h[ids], bounds[:-1])) for h in (hash1, hash2)]
+                laid = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), part.num_rows, [None, pa.py_buffer(4 * bounds), pa.py_buffer(ids.astype("<u4"))])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *near, laid.cast(pa.binary())],
+                                                 names=["doc_id", "near1", "near2", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, near1 long, near2 long, ids binary")

@@ -105,7 +105,6 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     n = len(data)
     if not n:
         return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
-    up, down = _powers(n + 1)
     inside = ~_SPACE[data]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
@@ -113,10 +112,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(inside & (~before | cut[:-1]))
     after = np.concatenate([inside[1:], [False]])
     ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODES[_LOWER[data]] * up[:n], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    return span_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes, A-Z lower-cased."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_CODES[_LOWER[data]] * up[:len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def to_int64(values: np.ndarray) -> np.ndarray:

@@ -268,7 +268,7 @@ def test_crf(docs):
         out = np.array([a * b for a, b in zip(alpha[1:], beta[1:])])
         return out / out.sum(axis=1, keepdims=True)
 
-    model = crf_language.Model(["a", "b", "c"], (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)))
+    model = crf_language.Model(["a", "b", "c"], crf_language.Lexicon([]))
     model.transitions = RNG.normal(size=(3, 3))
     sizes = [0, 1, 5, 64, 65, 200, 0, 300]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -302,6 +302,55 @@ def test_languages(spark):
     assert crf_language.label_documents(docs.limit(0), training).count() == 0
 
 
+def test_many_languages_with_long_texts_only(spark):
+    """Fifteen languages share their letters, so words tell them apart; no text of theirs is short."""
+    ship_package(spark)
+    rng = np.random.default_rng(4)
+    names = [f"l{k:02d}" for k in range(15)]
+    words = {x: ["".join(rng.choice(list("abcdeé"), 4)) for _ in range(60)] for x in names}
+
+    def text(lang, n):
+        return " ".join(rng.choice(words[lang], n))
+
+    labelled = [(text(lang, 1500), lang) for lang in names for _ in range(8)]
+    assert min(len(t) for t, _ in labelled) > crf_language.SAMPLE_CHARS
+    training = spark.createDataFrame(labelled, "text string, lang string")
+    sample = crf_language.training_sample(training).collect()
+    assert all(6 <= n <= 8 for n in Counter(r["lang"] for r in sample).values())  # one for each value of a hash
+    assert {len(r["text"]) for r in sample} == {crf_language.SAMPLE_CHARS}
+    model = crf_language.fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    assert len(model.lexicon.keys) > 600
+    assert all(model.entries[k, k] > 0.2 for k in range(15))  # a language's lexicon speaks for it
+    docs = spark.createDataFrame([(k, text(x, 30)) for k, x in enumerate(names)], "doc_id long, text string")
+    got = crf_language.label_documents(docs, training).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == dict(enumerate(names))
+
+
+def test_lexicon_pairs():
+    lists = [RNG.choice(40, 15, replace=False).astype(np.uint64) for _ in range(14)] + [np.zeros(0, dtype=np.uint64)]
+    words = RNG.integers(0, 50, 200).astype(np.uint64)
+    got = list(zip(*(x.tolist() for x in crf_language.Lexicon(lists).pairs(words))))
+    assert got == [(i, k) for i, w in enumerate(words) for k, x in enumerate(lists) if w in x]
+
+
+def test_expected_moves():
+    """Against all label sequences of a short chain; the label in front of the first word is any one."""
+    rng = np.random.default_rng(2)
+    model = crf_language.Model(["a", "b"], crf_language.Lexicon([]))
+    model.transitions = rng.normal(size=(2, 2))
+    emissions = rng.normal(size=(crf_language.CHAIN, 2))
+    paths = ((np.arange(1 << crf_language.CHAIN - 10)[:, None] >> np.arange(crf_language.CHAIN - 10)) & 1)
+    emissions[crf_language.CHAIN - 10:, 1] = -60.0  # the last ten words are of the first label for certain
+    paths = np.concatenate([paths, np.zeros((len(paths), 10), dtype=int)], axis=1)
+    weight = emissions[np.arange(crf_language.CHAIN), paths].sum(axis=1)
+    weight += model.transitions[paths[:, :-1], paths[:, 1:]].sum(axis=1) + np.log(np.exp(model.transitions).sum(axis=0))[paths[:, 0]]
+    chance = np.exp(weight - weight.max())
+    chance /= chance.sum()
+    exact = np.zeros((2, 2))
+    np.add.at(exact, (paths[:, :-1], paths[:, 1:]), np.repeat(chance[:, None], crf_language.CHAIN - 1, axis=1))
+    assert np.allclose(crf_language._expected_moves(model, emissions, 2), exact, atol=1e-6)
+
+
 def test_ppm(docs):
     rows = given(docs)
     order = ppm_scoring.ORDER
@@ -440,6 +489,24 @@ def test_word_tokenizer_agrees_with_the_library_on_hard_words():
     model.encode_special_tokens = True
     texts = ["", "ẞ İstanbul J̌ H̱x יִ abc", "Ⅰ a²b ½ x", "éa ÉA", "don't DON'T 'S x's' That That,", "日本 語。 中文",
              "##% .. a1b2c3,", "ΑΣ ΣΑΣ,", "a\x00b \x1c c\x1fd", "K K k", "ﬁne ǅ", "<|startoftext|>hi <|endoftext|>"]
-    texts += [" ".join(f"{a}{b}" for a in "abcDEF" for b in ("xyz", "Qr", "é", "s,", "7")), "w" * 5000]
+    texts += [" ".join(f"{a}{b}" for a in "abcDEF" for b in ("xyz", "Qr", "é", "s,", "7")), "w" * 5000, "KADİ, क़. ড়! ਸ਼? གྷ;"]
+    texts += ["".join(RNG.choice(list("aZé7İ'.,!$ <|>\u0301\u0307\u2019\u00a0\U0001f600"), 40)) for _ in range(300)]
     for text in texts * 2:  # new words, then remembered ones
         assert np.frombuffer(own.ids(text), dtype="<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+    everything = [f"Kad{chr(c)},. x{chr(c)}" for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000]
+    ids, bounds = own.texts_ids(pa.array(everything))
+    for i, found in enumerate(model.encode_batch(everything, add_special_tokens=False)):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == [*found.ids, bm25_packing.END], everything[i]
+
+
+def test_word_tokenizer_in_stretches(monkeypatch):
+    with open(public_tokenizers.path(bm25_packing.VOCABULARY), encoding="utf-8") as file:
+        body = file.read()
+    monkeypatch.setattr(bm25_packing, "SLICE_BYTES", 64)
+    monkeypatch.setattr(bm25_packing, "REMEMBERED", 50)
+    own, model = bm25_packing.WordTokenizer(body), Tokenizer.from_str(body)
+    model.encode_special_tokens = True
+    texts = [t or "" for t in TEXTS] + ["x" * 300, " " * 200, "y" * 63 + " z", "é" * 100 + "\n" + "b" * 64, ""]
+    ids, bounds = own.texts_ids(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == [*model.encode(text, add_special_tokens=False).ids, bm25_packing.END]
