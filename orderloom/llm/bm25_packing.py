@@ -41,6 +41,7 @@ _KINDS[list(string.ascii_letters.encode())] = _LETTER
 _KINDS[list(string.digits.encode())] = _DIGIT
 _KINDS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _SPACE
 _SPACES = _KINDS == _SPACE
+_SMALL = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
 
 
 class WordTokenizer:
@@ -48,7 +49,7 @@ class WordTokenizer:
 
     Texts are parted here as far as that is plain: a word of ASCII without an apostrophe into its runs; any other word
     stays whole, but for ASCII marks behind an ASCII letter or digit at its end, which are a run of their own whatever
-    stands before. ASCII letters have the ids of their small forms. Parts are told by 64-bit hashes; those met before are
+    stands before. Runs of ASCII letters have the ids of their small forms. Parts are told by 64-bit hashes; those met before are
     answered from a bounded table, new ones go to the library, runs many at a time in one line."""
 
     def __init__(self, body: str):
@@ -93,7 +94,7 @@ class WordTokenizer:
 
     def _parts_ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of concatenated texts, and how many each has."""
-        starts, ends, whole = word_parts(data, offsets)
+        data, starts, ends, whole = word_parts(data, offsets)
         if not len(starts):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets) - 1, dtype=np.int64)
         hashes, example, number = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
@@ -103,7 +104,7 @@ class WordTokenizer:
         known = at < len(self.keys)
         known[known] = self.keys[at[known]] == hashes[known]
         if not known.all():
-            new, body = example[~known], data.tobytes().lower()  # of ASCII letters only
+            new, body = example[~known], data.tobytes()
             self._learn(hashes[~known], [body[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())], whole[new])
             at = np.searchsorted(self.keys, hashes)
         count = self.count[at][number]
@@ -156,12 +157,14 @@ def _stretches(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int
         a = b
 
 
-def word_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte of each part of the texts' words and the byte behind its last; and whether it is a word kept whole."""
+def word_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, small in words that are parted; first byte of each part of the texts' words and the byte behind its
+    last; and whether it is a word kept whole. In those a capital may compose with the mark behind it otherwise than its
+    small form, so their letters stay as they are."""
     kind = _KINDS[data]
     inside = np.flatnonzero(kind != _SPACE)
     if not len(inside):
-        return inside, inside, np.zeros(0, dtype=bool)
+        return data, inside, inside, np.zeros(0, dtype=bool)
     kind = kind[inside]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
@@ -170,7 +173,10 @@ def word_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     sizes = np.diff(np.concatenate([words, [len(inside)]]))
     odd = np.add.reduceat((kind == _ODD).astype(np.int64), words) > 0
     changes = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)])
-    part = opens | (changes & ~np.repeat(odd, sizes))
+    plain = ~np.repeat(odd, sizes)
+    part = opens | (changes & plain)
+    small = data.copy()
+    small[inside[plain]] = _SMALL[data[inside[plain]]]
     kept = words[odd]
     core = np.maximum.reduceat(np.where(kind != _MARK, np.arange(len(kind)), -1), words)[odd]  # the last byte but marks
     marks = core + 1
@@ -179,7 +185,7 @@ def word_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     at = np.flatnonzero(part)
     whole = np.zeros(len(kind), dtype=bool)
     whole[kept] = True
-    return inside[at], inside[np.concatenate([at[1:], [len(inside)]]) - 1] + 1, whole[at]
+    return small, inside[at], inside[np.concatenate([at[1:], [len(inside)]]) - 1] + 1, whole[at]
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}

@@ -112,14 +112,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(inside & (~before | cut[:-1]))
     after = np.concatenate([inside[1:], [False]])
     ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
-    return span_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+    return span_hashes(_LOWER[data], starts, ends), np.searchsorted(starts, offsets)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of bytes, A-Z lower-cased."""
+    """64-bit hashes of spans of bytes."""
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODES[_LOWER[data]] * up[:len(data)], out=sums[1:])
+    np.cumsum(_BYTE_CODES[data] * up[:len(data)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
