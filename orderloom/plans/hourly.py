@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from orderloom.functions.calendar import Instant, instant
 from orderloom.operators.dates import on_dates
 from orderloom.plans.quality import assert_dq
-from orderloom.plans.rollup import stale_dates, summary_check, upsert_daily_summary
+from orderloom.plans.rollup import last_batch, stale_dates, summary_check, upsert_daily_summary
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.streaming.ingest import DRAIN_SECONDS, IngestOptions, drain, utc_now
 
@@ -27,13 +27,13 @@ def run_hourly(messages: DataFrame, warehouse: Warehouse, checkpoint: str, as_of
         raise ValueError(f"dates must be 'today' or 'stale', not {dates!r}")
     began = utc_now()
     drained = drain(messages, warehouse, checkpoint, options, seconds)
-    read_at = utc_now()
+    through = last_batch(warehouse.read("touched_dates"))
     orders = warehouse.read("orders")
     chosen = stale_dates(warehouse.read("touched_dates"), warehouse.read("daily_summary")) \
         if dates == "stale" else None
     assert_dq(orders, as_of, on_dates(orders, chosen) if chosen is not None else None)
     today = instant(as_of).cast("date")
-    upsert_daily_summary(orders, warehouse.path("daily_summary"), chosen, today, read_at, **vocabulary)
+    upsert_daily_summary(orders, warehouse.path("daily_summary"), chosen, today, utc_now(), through, **vocabulary)
     ingested = (warehouse.read("batch_metrics").filter(F.col("finished_at") >= instant(began))
                 .agg(F.coalesce(F.sum("consumed"), F.lit(0)).alias("consumed"),
                      F.coalesce(F.sum("inserted"), F.lit(0)).alias("inserted")).first())

@@ -43,11 +43,17 @@ def daily_summary(orders: DataFrame, upi: Sequence[str] = UPI, cards: Sequence[s
         *(measure.cast(SUMMARY_MEASURES[name]).alias(name) for name, measure in measures.items()))
 
 
+def last_batch(touched: DataFrame) -> int:
+    """The number of the last batch that noted its dates; 0 before the first."""
+    return touched.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("seq")).first()["seq"]
+
+
 def upsert_daily_summary(orders: DataFrame, path: str, dates: DataFrame | None = None, day: Day = None,
-                         computed_at: Instant = None, **vocabulary: Sequence[str]) -> None:
+                         computed_at: Instant = None, through: int = 0, **vocabulary: Sequence[str]) -> None:
     """Recompute whole days and replace their partitions; all other days stay as they are.
 
-    ``dates`` lists the days to recompute, else it is the single ``day`` (today by default). Running it again
+    ``dates`` lists the days to recompute, else it is the single ``day`` (today by default). ``through`` is the
+    :func:`last_batch` from before the orders were read; it is written with the summary, in one commit. Running it again
     gives the same table. Orders are never removed, so no group can vanish from a recomputed day."""
     if dates is None:
         chosen = orders.filter(on_day(orders, day))
@@ -56,7 +62,7 @@ def upsert_daily_summary(orders: DataFrame, path: str, dates: DataFrame | None =
             "order_date", F.to_date("order_timestamp"))
         chosen = on_dates(dated, dates)
     summary = daily_summary(chosen, **vocabulary)
-    (summary.withColumn("computed_at", instant(computed_at))
+    (summary.withColumn("computed_at", instant(computed_at)).withColumn("through_seq", F.lit(through).cast("bigint"))
      .select(*DAILY_SUMMARY)
      .hint("rebalance", "summary_date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -64,11 +70,13 @@ def upsert_daily_summary(orders: DataFrame, path: str, dates: DataFrame | None =
 
 
 def stale_dates(touched: DataFrame, summary: DataFrame) -> DataFrame:
-    """Days that got orders after their summary was last computed, late arrivals included."""
-    news = touched.groupBy("order_date").agg(F.max("changed_at").alias("changed_at"))
+    """Days that got orders from a batch which their summary may lack, late arrivals included. Batches are numbered, so
+    no two machines' clocks are compared: a batch takes its number after its orders are stored, a rollup the last number
+    before it reads the orders."""
+    news = touched.groupBy("order_date").agg(F.max("seq").alias("seq"))
     done = (summary.groupBy(F.col("summary_date").alias("done_date"))
-            .agg(F.max("computed_at").alias("computed_at")))
-    pending = F.col("computed_at").isNull() | (F.col("computed_at") <= F.col("changed_at"))
+            .agg(F.min("through_seq").alias("through")))
+    pending = F.col("through").isNull() | (F.col("through") < F.col("seq"))
     return (news.join(done, F.col("order_date") == F.col("done_date"), "left")
             .filter(pending).select("order_date"))
 

@@ -62,9 +62,10 @@ SUMMARY_MEASURES = {
     "delivered_count": "bigint", "cancelled_count": "bigint", "returned_count": "bigint",
     "upi_count": "bigint", "card_count": "bigint", "cod_count": "bigint",
 }
+# ``through_seq`` is the last batch whose orders are counted for certain.
 DAILY_SUMMARY = {
     "category": "string", "region": "string", **SUMMARY_MEASURES,
-    "computed_at": "timestamp_ntz", "summary_date": "date",
+    "computed_at": "timestamp_ntz", "through_seq": "bigint", "summary_date": "date",
 }
 REJECTS = {
     **{name: "string" for name in EVENT_FIELDS},
@@ -74,8 +75,14 @@ BATCH_METRICS = {
     "batch_id": "bigint", "consumed": "bigint", "inserted": "bigint", "invalid": "bigint", "failed": "bigint",
     "finished_at": "timestamp_ntz", "ingest_batch": "string",
 }
-# ``changed_at`` is taken after the orders of the batch are stored.
-TOUCHED_DATES = {"order_date": "date", "changed_at": "timestamp_ntz", "ingest_batch": "string"}
+# ``seq`` counts the batches; it is taken after the orders of the batch are stored.
+TOUCHED_DATES = {"order_date": "date", "seq": "bigint", "ingest_batch": "string"}
+ORDER_KEYS = {"order_id": "string", "ingest_batch": "string", "bucket": "int"}
+OPEN_BATCHES = {"order_date": "date", "ingest_batch": "string"}
+MASTER_REJECTS = {
+    "table_name": "string", "row_key": "string", "reject_reason": "string", "reject_reasons": "array<string>",
+    "row_json": "string", "load_label": "string",
+}
 
 # Closed vocabularies.
 CATEGORIES = ("Electronics", "Fashion", "Home & Kitchen", "Sports", "Books", "Beauty", "Toys", "Grocery")

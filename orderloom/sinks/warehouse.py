@@ -13,6 +13,7 @@ from orderloom import schemas
 from orderloom.operators.absent import held_keys
 from orderloom.operators.constraints import with_defaults
 from orderloom.operators.firsts import keep_first
+from orderloom.sinks import keys
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,9 @@ TABLES = {
     "rejects": TableSpec(schemas.REJECTS, "ingest_batch"),
     "batch_metrics": TableSpec(schemas.BATCH_METRICS, "ingest_batch"),
     "touched_dates": TableSpec(schemas.TOUCHED_DATES, "ingest_batch"),
+    "open_batches": TableSpec(schemas.OPEN_BATCHES, "ingest_batch"),
+    "master_rejects": TableSpec(schemas.MASTER_REJECTS, "load_label"),
+    "order_keys": TableSpec(schemas.ORDER_KEYS, "bucket"),
 }
 
 
@@ -51,9 +55,13 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def create(self) -> Warehouse:
-        """Make the tables that do not exist yet."""
+        """Make the tables that do not exist yet. The index of order ids is made from the orders that there are."""
         for name, spec in TABLES.items():
-            if not self._exists(name):
+            if self._exists(name):
+                continue
+            if name == "order_keys":
+                keys.build_keys(self)
+            else:
                 empty = self.spark.createDataFrame([], schemas.ddl(spec.layout)).write
                 (empty.partitionBy(spec.partition) if spec.partition else empty).parquet(self.path(name))
         return self
@@ -89,6 +97,32 @@ class Warehouse:
     def _reader(self, table: str) -> DataFrameReader:
         return self.spark.read.schema(schemas.ddl(TABLES[table].layout))
 
+    def _file_system(self, path: str):
+        """Hadoop's file system and path object of ``path``, whatever store it is in."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def files(self, table: str, value) -> list[str]:
+        """Data files of one partition."""
+        system, folder = self._file_system(f"{self.path(table)}/{TABLES[table].partition}={value}")
+        found = [f.getPath() for f in system.listStatus(folder)] if system.exists(folder) else []
+        return [f.toString() for f in found if not f.getName().startswith(("_", "."))]
+
+    def drop_files(self, paths: list[str]) -> None:
+        for path in paths:
+            system, place = self._file_system(path)
+            system.delete(place, False)
+
+    def drop_partition(self, table: str, value) -> None:
+        """Remove one partition and its folder, if it is there."""
+        system, folder = self._file_system(f"{self.path(table)}/{TABLES[table].partition}={value}")
+        system.delete(folder, True)
+
+    def rename(self, path: str, name: str) -> None:
+        system, place = self._file_system(path)
+        if not system.rename(place, self._file_system(name)[1]):
+            raise OSError(f"{path} could not be renamed")
+
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows, as one commit. Rows of one partition value are brought together, and split again where one
         value has very many, so that neither tiny nor huge files result."""

@@ -14,13 +14,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderloom.functions.calendar import instant
 from orderloom.operators.absent import held_keys
 from orderloom.operators.clean import rejected_orders, tag_orders, valid_orders
 from orderloom.operators.constraints import order_rules, orphan_keys, tag_orphans
 from orderloom.operators.dates import listed_dates
 from orderloom.operators.sized import broadcast_if_small
+from orderloom.plans.rollup import last_batch
 from orderloom.schemas import BATCH_METRICS, CATEGORIES, ddl
+from orderloom.sinks import keys
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources.events import decode, with_arrival
 
@@ -31,9 +32,9 @@ DRAIN_SECONDS = 300
 
 @dataclass(frozen=True)
 class IngestOptions:
-    """``dimensions`` names the master tables that orders must refer to. ``fixed_dates`` promises that copies of
-    an order always carry the same order date; the search for existing keys then reads only the partitions a
-    batch falls in, instead of the key column of the whole table; which ones depends on the dates alone."""
+    """``dimensions`` names the master tables that orders must refer to. Orders that are stored already are found in
+    the index of their ids. ``fixed_dates`` promises that copies of an order always carry the same order date; they are
+    then looked for in the partitions of the orders that a batch falls in, and not in the index."""
 
     categories: Sequence[str] = CATEGORIES
     dimensions: Sequence[str] = ("customers", "products", "stores")
@@ -64,8 +65,9 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
         valid = valid_orders(tagged).withColumns(
             {"ingest_batch": F.lit(label), "order_date": F.to_date("order_timestamp")})
         held = _insert(warehouse, valid, label, options.fixed_dates)
+        seq = last_batch(warehouse.read("touched_dates")) + 1
         touched = valid.select("order_date").distinct()
-        warehouse.replace_partition("touched_dates", label, touched.withColumn("changed_at", instant(utc_now())))
+        warehouse.replace_partition("touched_dates", label, touched.withColumn("seq", F.lit(seq).cast("bigint")))
         counts = tagged.agg(F.count("*").alias("consumed"),
                             F.count_if(F.size("reject_reasons") > 0).alias("invalid")).first()
         inserted = counts["consumed"] - counts["invalid"] - held
@@ -79,12 +81,22 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
 def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: bool) -> int:
     """Append the orders that are not stored yet. Returns how many were stored before by other batches; those
     of an earlier attempt at this one are its own."""
-    dates = listed_dates(valid) if fixed_dates else None
-    stored = warehouse.read("orders") if dates is None else warehouse.read_partitions("orders", dates)
+    keys.recover(warehouse)
+    dates = listed_dates(valid)
+    stored = warehouse.read_partitions("orders", dates) if fixed_dates else keys.indexed(warehouse, valid)
     held = held_keys(valid, stored, ["order_id"], "ingest_batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        others = held.filter(F.col("ingest_batch") != label).count()  # a write drops what is cached of its table
-        warehouse.append("orders", valid.join(held, "order_id", "left_anti"))
+        others = held.filter(F.col("ingest_batch") != label).select("order_id").distinct().count()
+        fresh = valid.join(held, "order_id", "left_anti")
+        number = fresh.count()
+        keys.open_batch(warehouse, label, dates)
+        warehouse.append("orders", fresh)
+        if fixed_dates:  # the write drops what is cached of the orders, so what is fresh is told from the table
+            keys.recover(warehouse)
+        else:
+            keys.add_keys(warehouse, fresh, label, number)
+            keys.close_batch(warehouse, label)
+        keys.fold_keys(warehouse)
         return others
     finally:
         held.unpersist()

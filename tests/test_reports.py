@@ -155,14 +155,14 @@ def test_summary_load_replaces_one_day_only(spark):
 
 
 def test_stale_dates(spark):
-    at = lambda hour: dt.datetime(2024, 5, 31, hour)
+    """Days whose last batch is later than the one their summary was made after; no clock is asked."""
     touched = spark.createDataFrame(
-        [(dt.date(2024, 5, 1), at(1)), (dt.date(2024, 5, 1), at(5)), (dt.date(2024, 5, 2), at(1)),
-         (dt.date(2024, 5, 3), at(1))], "order_date date, changed_at timestamp_ntz")
+        [(dt.date(2024, 5, 1), 4), (dt.date(2024, 5, 1), 7), (dt.date(2024, 5, 2), 5), (dt.date(2024, 5, 3), 1)],
+        "order_date date, seq bigint")
     summary = spark.createDataFrame(
-        [(dt.date(2024, 5, 1), at(3)), (dt.date(2024, 5, 2), at(3))], "summary_date date, computed_at timestamp_ntz")
+        [(dt.date(2024, 5, 1), 6), (dt.date(2024, 5, 2), 5), (dt.date(2024, 5, 2), 5)], "summary_date date, through_seq bigint")
     assert {r[0].day for r in rollup.stale_dates(touched, summary).collect()} == {1, 3}
-
+    assert rollup.last_batch(touched) == 7 and rollup.last_batch(touched.limit(0)) == 0
 
 def test_recent_orders_without_a_time_come_first_whatever_the_window(spark):
     orders = spark.sql("""
