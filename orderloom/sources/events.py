@@ -1,18 +1,18 @@
-"""Streams of order messages: ``value`` (JSON text) and ``arrival`` (a comparable struct, unique per message)."""
+"""Streams of order messages: ``value`` (JSON text), ``arrival`` (a comparable struct, unique per message), and
+``arrived``, when the message came in."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from orderloom.operators.sized import broadcast_if_small
 from orderloom.schemas import EVENT_FIELDS, ddl
 
-# Messages per micro-batch of a small live and hourly job, for ``batch_rows``.
-LIVE_BATCH = 100
-HOURLY_BATCH = 200
-
 _END = "_end"
+# A task's part of Spark's running row numbers.
+_LINE_BITS = 33
 
 
 def kafka_options(servers: str, topic: str, batch_rows: int | None = None) -> dict[str, str]:
@@ -27,7 +27,7 @@ def kafka_orders(spark: SparkSession, servers: str, topic: str, batch_rows: int
     """Order messages of a topic. Needs the Kafka connector on the class path."""
     messages = spark.readStream.format("kafka").options(**kafka_options(servers, topic, batch_rows)).load()
     return messages.select(F.col("value").cast("string").alias("value"),
-                           F.struct("partition", "offset").alias("arrival"))
+                           F.struct("partition", "offset").alias("arrival"), F.col("timestamp").alias("arrived"))
 
 
 def landed_orders(spark: SparkSession, path: str, files_per_batch: int | None = None,
@@ -40,8 +40,17 @@ def landed_orders(spark: SparkSession, path: str, files_per_batch: int | None =
     place = ["_metadata.file_path", "_metadata.file_block_start"]
     if not by_name:
         place.insert(0, "_metadata.file_modification_time")
-    lines = reader.load(path).select("value", F.struct(*place).alias("place"))
-    return lines.select("value", "place")
+    return reader.load(path).select("value", F.struct(*place).alias("place"),
+                                    F.col("_metadata.file_modification_time").alias("arrived"))
+
+
+def without_redelivery(messages: DataFrame, within: str) -> DataFrame:
+    """A stream without the messages that came before, text for text, ``within`` that time. What came is held as state
+    until the time is over, so memory is bounded by the time and not by all that was ever stored. Two messages of equal
+    text say the same, so it doesn't matter which of them stays; different copies of an order both stay and are judged
+    later. The time is that of arrival, so no message is late."""
+    return (messages.withWatermark("arrived", within).withColumn("_text", F.coalesce("value", F.lit("")))
+            .dropDuplicatesWithinWatermark(["_text"]).drop("_text"))
 
 
 def with_arrival(batch: DataFrame) -> DataFrame:
@@ -50,22 +59,46 @@ def with_arrival(batch: DataFrame) -> DataFrame:
     The position is the running row number of the task. Tasks of one micro-batch read the same parts whenever
     they are repeated, so a repeated task numbers its lines alike."""
     if "arrival" in batch.columns:
-        return batch
+        return batch.select("value", "arrival")
     return batch.select("value", F.struct("place.*", F.monotonically_increasing_id().alias("row")).alias("arrival"))
 
 
+def with_number(batch: DataFrame) -> DataFrame:
+    """``arrival`` as one BIGINT of the same order, whose minimum is a hash aggregate: of a topic, partition and offset
+    (below 2^48); of files, the rank of the file's part, then the line within it. Other arrivals stay as they are.
+
+    ``batch`` is read twice where it comes from files: persist it. The parts are ranked in one task, a row each."""
+    names = getattr(batch.schema["arrival"].dataType, "names", [])
+    if names == ["partition", "offset"]:
+        return batch.withColumn("arrival", F.shiftleft(F.col("arrival.partition").cast("bigint"), 48) + F.col("arrival.offset"))
+    if names[-1:] != ["row"]:
+        return batch
+    place = [f"arrival.{name}" for name in names[:-1]]
+    parts = batch.select(*(F.col(name).alias(f"_{k}") for k, name in enumerate(place))).distinct()
+    own = [f"_{k}" for k in range(len(place))]
+    parts = parts.withColumn("_rank", F.row_number().over(Window.orderBy(*own)).cast("bigint"))
+    same = [F.col(name).eqNullSafe(F.col(column)) for name, column in zip(place, own)]
+    line = F.col("arrival.row").bitwiseAND(F.lit((1 << _LINE_BITS) - 1))  # a part is read by one task
+    ranked = batch.join(broadcast_if_small(parts), same, "left")
+    return ranked.withColumn("arrival", F.shiftleft("_rank", _LINE_BITS) + line).drop("_rank", *own)
+
+
 def decode(messages: DataFrame, fields: Sequence[str] = EVENT_FIELDS) -> DataFrame:
     """Event fields as text columns. A message that is not exactly one JSON object keeps its text in ``payload``
     (empty for a missing message) and has no fields.
 
     The parser stops after a first value, so the message is read as a member with a mark behind it, which is only
-    reached if nothing else follows; and as an array of one, as a message may bring such a mark itself."""
+    reached if nothing else follows; and, unless it has no brace but the last, as an array of one, as a message may bring
+    such a mark itself."""
+    # In text whose only closing brace is its last character nothing can follow the object.
+    single = F.locate("}", "value") == F.length(F.rtrim("value", F.lit(" \t\r\n")))
     schema = f"e struct<{ddl({name: 'string' for name in fields})}>, {_END} string"
     strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     whole = F.from_json(F.concat(F.lit('{"e":'), "value", F.lit(f',"{_END}":"1"}}')), schema, strict)
     alone = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>", strict)
     parsed = messages.withColumn("whole", whole).withColumn("event", F.col("whole.e"))
-    one = (F.size(alone) == 1) & (F.col(f"whole.{_END}") == "1") & F.col("event").isNotNull()
+    alone = F.when(single, F.lit(True)).otherwise(F.size(alone) == 1)
+    one = (F.col(f"whole.{_END}") == "1") & F.col("event").isNotNull() & alone
     broken = ~F.coalesce(one, F.lit(False))
     kept = [F.when(~broken, F.col(f"event.{name}")).alias(name) for name in fields]
     payload = F.when(broken, F.coalesce("value", F.lit(""))).alias("payload")

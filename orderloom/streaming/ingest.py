@@ -23,7 +23,7 @@ from orderloom.plans.rollup import last_batch
 from orderloom.schemas import BATCH_METRICS, CATEGORIES, ddl
 from orderloom.sinks import keys
 from orderloom.sinks.warehouse import Warehouse
-from orderloom.sources.events import decode, with_arrival
+from orderloom.sources.events import decode, with_arrival, with_number, without_redelivery
 
 # Poll interval of the live job and time limit of an hourly drain.
 LIVE_TRIGGER = "1 second"
@@ -34,11 +34,14 @@ DRAIN_SECONDS = 300
 class IngestOptions:
     """``dimensions`` names the master tables that orders must refer to. Orders that are stored already are found in
     the index of their ids. ``fixed_dates`` promises that copies of an order always carry the same order date; they are
-    then looked for in the partitions of the orders that a batch falls in, and not in the index."""
+    then looked for in the partitions of the orders that a batch falls in, and not in the index. ``redelivery`` is a
+    time within which a message that comes again, text for text, is dropped before it is decoded: the bounded form of
+    the search, for topics that are delivered at least once. Whatever passes is still looked for."""
 
     categories: Sequence[str] = CATEGORIES
     dimensions: Sequence[str] = ("customers", "products", "stores")
     fixed_dates: bool = False
+    redelivery: str | None = None
 
 
 def utc_now() -> dt.datetime:
@@ -51,7 +54,7 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
     began = now or utc_now()
     # Decoded and numbered once: first copies are told by meeting the batch with itself.
     raw = decode(with_arrival(messages)).persist(StorageLevel.MEMORY_AND_DISK)
-    tagged = tag_orders(raw, ["arrival"], options.categories, order_rules(), ingested_at=began).persist(
+    tagged = tag_orders(with_number(raw), ["arrival"], options.categories, order_rules(), ingested_at=began).persist(
         StorageLevel.MEMORY_AND_DISK)
     kept = [raw, tagged]
     try:
@@ -111,10 +114,14 @@ def batch_writer(warehouse: Warehouse, options: IngestOptions = IngestOptions())
     return write
 
 
+def _stream(messages: DataFrame, options: IngestOptions) -> DataFrame:
+    return without_redelivery(messages, options.redelivery) if options.redelivery else messages
+
+
 def start_live(messages: DataFrame, warehouse: Warehouse, checkpoint: str,
                options: IngestOptions = IngestOptions(), trigger: str = LIVE_TRIGGER) -> StreamingQuery:
     """Run until stopped. The checkpoint holds this job's position in the stream: one folder per job."""
-    return (messages.writeStream.foreachBatch(batch_writer(warehouse.create(), options))
+    return (_stream(messages, options).writeStream.foreachBatch(batch_writer(warehouse.create(), options))
             .option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start())
 
 
@@ -122,7 +129,7 @@ def drain(messages: DataFrame, warehouse: Warehouse, checkpoint: str, options: I
           seconds: float | None = DRAIN_SECONDS) -> bool:
     """Process what has arrived so far, then stop. Returns False when time ran out first; the rest, and a batch
     that was cut off, are left to the next run."""
-    query = (messages.writeStream.foreachBatch(batch_writer(warehouse.create(), options))
+    query = (_stream(messages, options).writeStream.foreachBatch(batch_writer(warehouse.create(), options))
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     if seconds is None:
         query.awaitTermination()
