@@ -194,6 +194,13 @@ accepted as (select *, row_number() over (partition by order_id order by wave) a
              from tagged where reject_reasons = ''),
 stored as (select * from accepted where attempt = 1)"""
 
+# The same with orders placed in all the real months, copies of an order on different days.
+_JULY = "make_timestamp(2001, 7, day(o_orderdate), l_linenumber, 0, 0)"
+_MONTHS = """(date_trunc('month', o_orderdate)::timestamp + to_days(cast(day(l_shipdate) % 2 as int))
+           + to_hours(l_linenumber))"""
+MONTHS = STREAM.replace(_JULY, _MONTHS)
+assert MONTHS != STREAM
+
 # Half-up mean of positive cent amounts in whole numbers, as a floating-point average loses half-cent ties.
 MEAN = "cast((cast(sum(final_amount) * 100 as bigint) * 2 + count(*)) // (2 * count(*)) as double) / 100"
 REVENUE = "order_status not in ('Cancelled', 'Returned')"
@@ -261,6 +268,34 @@ def _number(value: str) -> str:
     return _short(value, [(100000, "L"), (1000, "K")], f"cast({value} as varchar)")
 
 
+_MONTHS_AS_OF = "timestamp '1998-06-15 00:00:00'"
+
+
+def _format_counts() -> list[str]:
+    """A row for each malformed identifier and each text that is too wide."""
+    uuid = "'[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}'"
+    tables = {
+        "orders": ("f", ("order_id", "customer_id", "product_id", "store_id"), {
+            "customer_city": ("customer_city", 50), "customer_region": ("customer_region", 20),
+            "customer_gender": ("s_name", 10), "product_name": ("product_name", 200), "category": ("category", 50),
+            "brand": ("brand", 100), "store_type": ("s_name", 20), "store_city": ("store_city", 50),
+            "store_region": ("store_region", 20), "payment_method": ("payment_method", 30),
+            "order_status": ("order_status", 20), "device_type": ("brand", 20), "source": ("category", 30)}),
+        "products": ("product_master", ("product_id",), {
+            "name": ("name", 200), "category": ("category", 50), "brand": ("brand", 100)}),
+        "stores": ("store_master", ("store_id",), {
+            "store_name": ("store_name", 150), "city": ("city", 50), "region": ("region", 20),
+            "store_type": ("store_type", 20)}),
+    }
+    found = []
+    for table, (source, ids, widths) in tables.items():
+        found += [f"select '{table}' as table_name, 'malformed_{x}' as reason from {source} "
+                  f"where not regexp_full_match(cast({x} as varchar), {uuid})" for x in ids]
+        found += [f"select '{table}', 'long_{x}' from {source} where length({of}) > {most}"
+                  for x, (of, most) in widths.items() if (table, x) != ("products", "brand")]
+    return found
+
+
 ORACLES: dict[str, str] = {
     "kpi_totals": f"""with {FACTS}
 select count(*) as total_orders, coalesce(cast(sum(final_amount) as double), 0) as total_revenue,
@@ -415,4 +450,55 @@ select (select count(*) from tagged) as consumed, (select count(*) from stored)
     "stream_replay": f"""{STREAM}
 select count(*) as rows_before, count(*) as rows_after from stored""",
     "hourly_job": f"{STREAM} {_summary('stored')}",
+    "stream_ingest_open": f"{MONTHS} select {_ORDER_COLUMNS}, cast(order_timestamp as date) as order_date from stored",
+    "stream_bounded": f"{STREAM} select {_ORDER_COLUMNS}, cast(order_timestamp as date) as order_date from stored",
+    "order_key_index": f"{MONTHS} select order_id from stored",
+    "stored_revenue_by_category": f"""{MONTHS}
+select category, count(*) as total_orders, cast(sum(final_amount) as double) as total_revenue,
+  {MEAN} as avg_order_value, cast(sum(quantity) as bigint) as total_items_sold
+from stored where order_timestamp >= {_MONTHS_AS_OF} - interval 30 days and {REVENUE} group by category""",
+    "stored_revenue_by_region": f"""{MONTHS}
+select customer_region as region, count(*) as total_orders, cast(sum(final_amount) as double) as total_revenue,
+  count(distinct customer_id) as unique_customers
+from stored where order_timestamp >= {_MONTHS_AS_OF} - interval 30 days group by customer_region""",
+    "stored_daily_trend": f"""{MONTHS}
+select cast(order_timestamp as date) as order_date, count(*) as total_orders,
+  cast(sum(final_amount) as double) as daily_revenue, {MEAN} as avg_order_value
+from stored where order_timestamp >= {_MONTHS_AS_OF} - interval 14 days group by 1""",
+    "stored_recent_orders": f"""{MONTHS}
+select order_id, order_timestamp, customer_city, category, cast(final_amount as double) as final_amount,
+  payment_method, order_status from stored order by order_timestamp desc, order_id, final_amount, category limit 20""",
+    "stored_hourly_orders": f"""{MONTHS}
+select cast(hour(order_timestamp) as bigint) as hour, count(*) as order_count,
+  cast(sum(final_amount) as double) as revenue
+from stored where cast(order_timestamp as date) = date '1998-06-01' group by 1""",
+    "stored_dq_report": f"{MONTHS}, {_quality('stored', _MONTHS_AS_OF)}",
+    "stored_day_summary": f"""{MONTHS},
+days as (select * from stored where cast(order_timestamp as date) in (date '1998-06-01', date '1998-06-02'))
+{_summary('days')}""",
+    "stored_summary_check": f"""{MONTHS}, s as ({_summary('stored')})
+select count(*) as categories, cast(coalesce(sum(total_orders), 0) as bigint) as total_orders,
+  cast(coalesce(sum(cast(total_revenue as decimal(15,2))), 0) as double) as total_revenue
+from s where summary_date = date '1998-06-01'""",
+    "master_loads": f"""with {MASTERS},
+one as (select *, email is not null and row_number() over (partition by email order by arrival) > 1 as taken
+        from customer_tags where region = 'ASIA' and reasons = ''),
+two as (select * exclude (repeated), email in (select email from one where not taken) as held
+        from customer_tags where reasons = '' and customer_id not in (select customer_id from one where not taken)),
+later as (select *, email is not null and (coalesce(held, false) or row_number() over (
+            partition by email, coalesce(held, false) order by arrival) > 1) as taken from two)
+select 'customers' as table_name, customer_id as row_key, 'first' as load_label, reasons as reject_reasons
+from customer_tags where region = 'ASIA' and reasons <> ''
+union all select 'customers', customer_id, 'first', 'duplicate_email' from one where taken
+union all select 'customers', customer_id, 'second', reasons from customer_tags where reasons <> ''
+union all select 'customers', customer_id, 'second', 'duplicate_email' from later where taken
+union all select 'customers', customer_id, 'stored', '' from one where not taken
+union all select 'customers', customer_id, 'stored', '' from later where not taken
+union all select 'products', product_id, 'products', reasons from product_tags where reasons <> ''
+union all select 'products', product_id, 'stored', '' from products
+union all select 'stores', store_id, 'stores', reasons from store_tags where reasons <> ''
+union all select 'stores', store_id, 'stored', '' from stores""",
+    "format_violations_all": f"""with {FACTS}, {MASTERS}, v as (
+  {" union all ".join(_format_counts())})
+select table_name, reason, count(*) as rows from v group by table_name, reason""",
 }

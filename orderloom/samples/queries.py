@@ -405,3 +405,112 @@ def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_hourly(landed_orders(spark, f"{root}/landing", by_name=True), warehouse, f"{root}/checkpoint",
                    given.AS_OF, streams.OPTIONS, dates="stale", seconds=None, **given.PAYMENTS)
     return plain(warehouse.read("daily_summary").select(*SUMMARY_KEYS, *SUMMARY_MEASURES))
+
+
+# Orders of all months, found by the index of ids, and reports over what is stored.
+
+
+_STORED = (*ORDER_COLUMNS, "revenue_per_unit", "order_hour", "order_date")
+MONTHS_AS_OF = "1998-06-15 00:00:00"
+
+
+@register
+def stream_ingest_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored orders where copies of an order come with other dates."""
+    return plain(streams.stored_months(spark, sf_dir).read("orders").select(*_STORED))
+
+
+@register
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored orders where each wave brings the earlier ones once more, and redelivered messages are dropped."""
+    warehouse, _ = streams.ingest_waves(spark, sf_dir, streams.BOUNDED, again=True)
+    return plain(warehouse.read("orders").select(*_STORED))
+
+
+@register
+def order_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that the index has, each once however often it is written there."""
+    return streams.stored_months(spark, sf_dir).read("order_keys").select("order_id").distinct()
+
+
+@register
+def stored_revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(reports.revenue_by_category(streams.stored_months(spark, sf_dir).read("orders"), MONTHS_AS_OF))
+
+
+@register
+def stored_revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(reports.revenue_by_region(streams.stored_months(spark, sf_dir).read("orders"), MONTHS_AS_OF))
+
+
+@register
+def stored_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(reports.daily_revenue_trend(streams.stored_months(spark, sf_dir).read("orders"), MONTHS_AS_OF))
+
+
+@register
+def stored_recent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(reports.recent_orders(streams.stored_months(spark, sf_dir).read("orders"), 20, given.AS_OF))
+
+
+@register
+def stored_hourly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(reports.hourly_orders(streams.stored_months(spark, sf_dir).read("orders"), "1998-06-01"))
+
+
+@register
+def stored_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_dq(streams.stored_months(spark, sf_dir).read("orders"), MONTHS_AS_OF)
+
+
+@register
+def stored_day_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup of two single days, one of them twice, as the summary table then has it."""
+    orders = streams.stored_months(spark, sf_dir).read("orders")
+    own = Warehouse(spark, shared_folder(spark, "days")).create()
+    for day in ("1998-06-01", "1998-06-02", "1998-06-01"):
+        rollup.upsert_daily_summary(orders, own.path("daily_summary"), day=day, **given.PAYMENTS)
+    return plain(own.read("daily_summary").select(*SUMMARY_KEYS, *SUMMARY_MEASURES))
+
+
+@register
+def stored_summary_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the summary table holds for a day, after the rollup of that day and the next."""
+    orders = streams.stored_months(spark, sf_dir).read("orders")
+    own = Warehouse(spark, shared_folder(spark, "days")).create()
+    for day in ("1998-06-01", "1998-06-02"):
+        rollup.upsert_daily_summary(orders, own.path("daily_summary"), day=day, **given.PAYMENTS)
+    return plain(rollup.summary_check(own.read("daily_summary"), "1998-06-01"))
+
+
+@register
+def master_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keys stored and all rows refused by two loads of customers and one each of products and stores."""
+    warehouse = streams.load_all_masters(spark, sf_dir)
+    found = warehouse.read("master_rejects").select(
+        "table_name", "row_key", "load_label", F.array_join("reject_reasons", ",").alias("reject_reasons"))
+    for table, key in (("customers", "customer_id"), ("products", "product_id"), ("stores", "store_id")):
+        found = found.unionByName(warehouse.read(table).select(
+            F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.lit("stored").alias("load_label"),
+            F.lit("").alias("reject_reasons")))
+    return found
+
+
+@register
+def format_violations_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers and text widths of orders, products and stores."""
+    text = {"customer_gender": "store_name", "store_type": "store_name", "device_type": "brand", "source": "category"}
+    orders = given.order_facts(spark, sf_dir, "order_id", "customer_id", "product_id", "store_id", "customer_city",
+                               "customer_region", "product_name", "category", "brand", "store_city", "store_region",
+                               "payment_method", "order_status", "store_name").withColumns(
+        {**{name: F.col(of) for name, of in text.items()},
+         **{name: F.col(name).cast("string") for name in ("customer_id", "product_id", "store_id")}})
+    found = None
+    for table, rows in (("orders", orders), ("products", given.product_master(spark, sf_dir)),
+                        ("stores", given.store_master(spark, sf_dir))):
+        tagged = constraints.tag_violations(rows, constraints.format_rules(table))
+        counts = (tagged.select(F.explode("reject_reasons").alias("reason")).groupBy("reason")
+                  .agg(F.count("*").alias("rows")).select(F.lit(table).alias("table_name"), "reason", "rows"))
+        found = counts if found is None else found.unionByName(counts)
+    return found
+

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.operators import constraints
+from orderloom.plans.masters import load_master
 from orderloom.samples import tables as given
 from orderloom.schemas import EVENT_FIELDS
 from orderloom.session import shared_folder
@@ -21,20 +22,27 @@ WAVES = ("1995-01-01", "1997-07-01", "1999-07-01", "9999-01-01")
 OPTIONS = IngestOptions(categories=given.CATEGORIES, fixed_dates=True)
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Orders of all months, and nothing promised about their dates.
+OPEN = IngestOptions(categories=given.CATEGORIES)
+BOUNDED = IngestOptions(categories=given.CATEGORIES, redelivery="30 days")
+
+
+def event_messages(spark: SparkSession, sf_dir: str, when: Column | None = None) -> DataFrame:
     """Raw events as JSON text, some of it cut off, with the columns of ``ARRIVAL``."""
     value = F.to_json(F.struct(*EVENT_FIELDS), {"ignoreNullFields": "false"})
     cut = (F.col("l_linenumber") == 7) & (F.col("l_discount") == 0.01)
-    return given.raw_events(spark, sf_dir).select(
+    return given.raw_events(spark, sf_dir, when).select(
         F.when(cut, F.substring(value, 1, 20)).otherwise(value).alias("value"), *given.ARRIVAL)
 
 
-def arriving_waves(spark: SparkSession, sf_dir: str, path: str) -> Iterator[int]:
-    """Land one wave after another, each in arrival order: the parts of a sorted write are named in order too."""
-    messages = event_messages(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+def arriving_waves(spark: SparkSession, sf_dir: str, path: str, when: Column | None = None,
+                   again: bool = False) -> Iterator[int]:
+    """Land one wave after another, each in arrival order: the parts of a sorted write are named in order too. With
+    ``again`` each wave brings all messages of the earlier ones once more."""
+    messages = event_messages(spark, sf_dir, when).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for wave, (start, end) in enumerate(pairwise(WAVES)):
-            shipped = F.col("l_shipdate")
+            start, shipped = WAVES[0] if again else start, F.col("l_shipdate")
             inside = (shipped >= F.lit(start).cast("timestamp_ntz")) & (shipped < F.lit(end).cast("timestamp_ntz"))
             (messages.filter(inside).repartitionByRange(*given.ARRIVAL).sortWithinPartitions(*given.ARRIVAL)
              .select("value").write.mode("append").text(path))
@@ -66,11 +74,34 @@ def load_masters(spark: SparkSession, sf_dir: str, warehouse: Warehouse) -> dict
             for name, (rows, key) in masters.items()}
 
 
-def ingest_waves(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
+def ingest_waves(spark: SparkSession, sf_dir: str, options: IngestOptions = OPTIONS, when: Column | None = None,
+                 again: bool = False) -> tuple[Warehouse, str]:
     """Land and drain all waves into a new warehouse. Returns it and the landing folder."""
     root = shared_folder(spark, "stream")
     warehouse, landing = Warehouse(spark, f"{root}/warehouse").create(), f"{root}/landing"
     load_masters(spark, sf_dir, warehouse)
-    for _ in arriving_waves(spark, sf_dir, landing):
-        drain(landed_orders(spark, landing, by_name=True), warehouse, f"{root}/checkpoint", OPTIONS, seconds=None)
+    for _ in arriving_waves(spark, sf_dir, landing, when, again):
+        drain(landed_orders(spark, landing, by_name=True), warehouse, f"{root}/checkpoint", options, seconds=None)
     return warehouse, landing
+
+
+_STORED: dict[tuple[str, str], Warehouse] = {}
+
+
+def stored_months(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse after the waves of :func:`month_time`; made once in an application for all reports over it."""
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _STORED:
+        _STORED[name] = ingest_waves(spark, sf_dir, OPEN, given.month_time())[0]
+    return _STORED[name]
+
+
+def load_all_masters(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Customers of one region, then all customers, products and stores, with what is refused."""
+    warehouse = Warehouse(spark, f"{shared_folder(spark, 'masters')}/warehouse").create()
+    customers = given.customer_master(spark, sf_dir)
+    load_master(warehouse, "customers", customers.filter("region = 'ASIA'"), ["arrival"], "first")
+    load_master(warehouse, "customers", customers, ["arrival"], "second")
+    load_master(warehouse, "products", given.product_master(spark, sf_dir), ["arrival"], "products")
+    load_master(warehouse, "stores", given.store_master(spark, sf_dir), ["arrival"], "stores")
+    return warehouse

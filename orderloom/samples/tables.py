@@ -94,7 +94,7 @@ def _facts() -> dict[str, Column]:
         "customer_id": F.col("o_custkey"), "product_id": F.col("l_partkey"), "store_id": F.col("l_suppkey"),
         "customer_city": F.col("customer_city"), "customer_region": F.col("customer_region"),
         "product_name": F.col("p_name"), "category": F.col("p_type"), "brand": F.col("p_brand"),
-        "store_city": F.col("store_city"), "store_region": F.col("store_region"),
+        "store_name": F.col("s_name"), "store_city": F.col("store_city"), "store_region": F.col("store_region"),
         "quantity": F.col("l_quantity").cast("int"), "unit_price": _money("p_retailprice"),
         "tax_amount": tax, "final_amount": _money("l_extendedprice"),
         "payment_method": F.col("o_orderpriority"), "order_status": status,
@@ -121,14 +121,22 @@ def july_time() -> Column:
                                 F.lit(0))
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order events as text, with flaws that follow from the data, and the columns of ``ARRIVAL``."""
+def month_time() -> Column:
+    """Order times in all the real months: the first or second day, by the ship date, so copies of an order that were
+    shipped on different days carry different dates; the hour from the line number."""
+    day = F.date_add(F.trunc("o_orderdate", "month"), F.day("l_shipdate") % 2)
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.day(day), F.col("l_linenumber"), F.lit(0), F.lit(0))
+
+
+def raw_events(spark: SparkSession, sf_dir: str, when: Column | None = None) -> DataFrame:
+    """Order events as text, with flaws that follow from the data, and the columns of ``ARRIVAL``. Orders are placed at
+    ``when``, :func:`july_time` if not given."""
     lines = order_lines(spark, sf_dir, _CUSTOMER | _PART | _SUPPLIER)
     quantity, line, discount = F.col("l_quantity"), F.col("l_linenumber"), F.col("l_discount")
     facts = _facts()
     price = _money("l_extendedprice")
     status = facts["order_status"]
-    placed = F.date_format(july_time(), "yyyy-MM-dd'T'HH:mm:ss")
+    placed = F.date_format(july_time() if when is None else when, "yyyy-MM-dd'T'HH:mm:ss")
     text = {name: facts[name].cast("string") for name in
             ("customer_id", "product_id", "store_id", "customer_city", "customer_region", "product_name", "brand",
              "store_city", "store_region", "payment_method")}
