@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -166,6 +167,53 @@ def test_sections_quotes_and_cells_do_not_stand_for_the_article(spark, inside, b
     assert got == {"\n".join(b.strip() for b in blocks)}
 
 
+def test_a_teaser_at_the_hosts_path_is_not_the_article():
+    post = html_consensus.best_path(html_consensus.read_blocks(f"<body><div class=post><p>{LONG}</p></div></body>"))
+    page = f"<body><div class=post><p>Short teaser.</p></div><div class=entry><p>{LONG}</p></div></body>"
+    assert html_consensus.main_text(page, [post]) == LONG.strip()
+    assert html_consensus.main_text(page.replace("Short teaser.", LONG + "Own."), [post]) == LONG + "Own."
+
+
+@pytest.mark.parametrize("inside, text", [
+    ("<p>Let <math>x=2</math> be given.</p>", "Let x=2 be given."),
+    ("<p>Before</p><object><p>Fallback.</p></object>", "Before\nFallback."),
+    ('<p class="social-science">Studied.</p><div id="search-results-explained"><p>Explained.</p></div>', "Studied.\nExplained."),
+    ('<p>Kept.</p><div class="social-links"><p>Share it</p></div><div id="cookie-banner">We use</div>', "Kept."),
+    ("<header><h1>Title</h1></header><p>Text.</p>", "Title\nText."),
+    ('<p>Kept.</p><form><select><option>One</option></select></form><svg><title>x</title></svg>', "Kept.")])
+def test_what_an_article_keeps(inside, text):
+    page = f"<body><header>Site</header><article>{inside}<p>{LONG}</p></article><footer>End</footer></body>"
+    assert html_consensus.main_text(page, []) == text + "\n" + LONG.strip()
+
+
+def test_deep_nesting_takes_linear_time():
+    began = time.process_time()
+    for tag in ("div", "section"):
+        page = "".join(f"<{tag}>w{k} " for k in range(10000))
+        assert len(html_consensus.main_text(page, ["x"]).split("\n")) == 10000
+    assert time.process_time() - began < 10
+
+
+def test_votes_against_counting(spark):
+    """The host's path, by counting every page's best path."""
+    ship_package(spark)
+    pages = []
+    for n in range(60):
+        kind = ("story", "entry", f"only-{'abcdefgh'[n % 8]}{'xyz'[n % 3]}")[0 if n % 5 else 1 + n % 2]
+        other = "entry" if kind == "story" else "story"
+        pages.append((n, f"http://h{n % 3}/", f"<body><div class={kind}><p>Own {n}. {'Filled up. ' * (n % 7 + 3)}</p></div>"
+                      f"<div class={other}><p>Other {n}. {'Filled up. ' * (n % 4)}</p></div></body>"))
+    votes = defaultdict(Counter)
+    for _, url, page in pages:
+        votes[url][html_consensus.best_path(html_consensus.read_blocks(page))] += 1
+    expected = {}
+    for n, url, page in pages:
+        order = sorted((p for p, k in votes[url].items() if k >= 2), key=lambda p: (-votes[url][p], p))
+        expected[n] = html_consensus.main_text(page, order)
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    assert {r["page_id"]: r["text"] for r in html_consensus.extract_pages(frame).collect()} == expected
+
+
 def least_capacity(sizes, shards):
     capacity = max(max(sizes), -(-sum(sizes) // shards))
     while True:
