@@ -60,7 +60,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", packing)]
 
-#: The stages learn, iterate and pack; SQL cannot express them. tests/llm/test_pipeline.py has brute-force versions.
+#: The stages learn, iterate and pack; SQL cannot express them. tests/llm/test_rows_and_pipeline.py tests them.
 ORACLE_SQL = None
 
 
