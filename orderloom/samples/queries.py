@@ -423,8 +423,7 @@ def stream_ingest_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored orders where each wave brings the earlier ones once more, and redelivered messages are dropped."""
-    warehouse, _ = streams.ingest_waves(spark, sf_dir, streams.BOUNDED, again=True)
-    return plain(warehouse.read("orders").select(*_STORED))
+    return plain(streams.ingest_redelivered(spark, sf_dir).read("orders").select(*_STORED))
 
 
 @register

@@ -35,14 +35,12 @@ def event_messages(spark: SparkSession, sf_dir: str, when: Column | None = None)
         F.when(cut, F.substring(value, 1, 20)).otherwise(value).alias("value"), *given.ARRIVAL)
 
 
-def arriving_waves(spark: SparkSession, sf_dir: str, path: str, when: Column | None = None,
-                   again: bool = False) -> Iterator[int]:
-    """Land one wave after another, each in arrival order: the parts of a sorted write are named in order too. With
-    ``again`` each wave brings all messages of the earlier ones once more."""
+def arriving_waves(spark: SparkSession, sf_dir: str, path: str, when: Column | None = None) -> Iterator[int]:
+    """Land one wave after another, each in arrival order: the parts of a sorted write are named in order too."""
     messages = event_messages(spark, sf_dir, when).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for wave, (start, end) in enumerate(pairwise(WAVES)):
-            start, shipped = WAVES[0] if again else start, F.col("l_shipdate")
+            shipped = F.col("l_shipdate")
             inside = (shipped >= F.lit(start).cast("timestamp_ntz")) & (shipped < F.lit(end).cast("timestamp_ntz"))
             (messages.filter(inside).repartitionByRange(*given.ARRIVAL).sortWithinPartitions(*given.ARRIVAL)
              .select("value").write.mode("append").text(path))
@@ -74,17 +72,42 @@ def load_masters(spark: SparkSession, sf_dir: str, warehouse: Warehouse) -> dict
             for name, (rows, key) in masters.items()}
 
 
-def ingest_waves(spark: SparkSession, sf_dir: str, options: IngestOptions = OPTIONS, when: Column | None = None,
-                 again: bool = False) -> tuple[Warehouse, str]:
+def ingest_waves(spark: SparkSession, sf_dir: str, options: IngestOptions = OPTIONS,
+                 when: Column | None = None) -> tuple[Warehouse, str]:
     """Land and drain all waves into a new warehouse. Returns it and the landing folder."""
     root = shared_folder(spark, "stream")
     warehouse, landing = Warehouse(spark, f"{root}/warehouse").create(), f"{root}/landing"
     load_masters(spark, sf_dir, warehouse)
-    for _ in arriving_waves(spark, sf_dir, landing, when, again):
+    for _ in arriving_waves(spark, sf_dir, landing, when):
         drain(landed_orders(spark, landing, by_name=True), warehouse, f"{root}/checkpoint", options, seconds=None)
     return warehouse, landing
 
 
+def dumped_topic(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of a topic dumped as Parquet, with partition, offset and time of arrival."""
+    rows = spark.readStream.schema("value string, partition int, offset bigint, arrived timestamp").parquet(path)
+    return rows.select("value", F.struct("partition", "offset").alias("arrival"), "arrived")
+
+
+def ingest_redelivered(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A topic's waves, each with all messages of the earlier ones once more, under an ingest that drops those."""
+    root = shared_folder(spark, "redelivered")
+    warehouse, dump = Warehouse(spark, f"{root}/warehouse").create(), f"{root}/dump"
+    load_masters(spark, sf_dir, warehouse)
+    messages = event_messages(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for wave, end in enumerate(WAVES[1:]):
+            shipped = F.col("l_shipdate")
+            inside = (shipped >= F.lit(WAVES[0]).cast("timestamp_ntz")) & (shipped < F.lit(end).cast("timestamp_ntz"))
+            ordered = messages.filter(inside).repartitionByRange(*given.ARRIVAL).sortWithinPartitions(*given.ARRIVAL)
+            ordered.select("value", F.lit(0).alias("partition"), (F.lit(wave << 44) + F.monotonically_increasing_id()).alias("offset"),
+                           F.current_timestamp().alias("arrived")).write.mode("append").parquet(dump)
+            drain(dumped_topic(spark, dump), warehouse, f"{root}/checkpoint", BOUNDED, seconds=None)
+    finally:
+        messages.unpersist()
+    return warehouse
+
+
 _STORED: dict[tuple[str, str], Warehouse] = {}
 
 

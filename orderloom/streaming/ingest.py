@@ -36,7 +36,7 @@ class IngestOptions:
     the index of their ids. ``fixed_dates`` promises that copies of an order always carry the same order date; they are
     then looked for in the partitions of the orders that a batch falls in, and not in the index. ``redelivery`` is a
     time within which a message that comes again, text for text, is dropped before it is decoded: the bounded form of
-    the search, for topics that are delivered at least once. Whatever passes is still looked for."""
+    the search, for topics (not files) that are delivered at least once. Whatever passes is still looked for."""
 
     categories: Sequence[str] = CATEGORIES
     dimensions: Sequence[str] = ("customers", "products", "stores")

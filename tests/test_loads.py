@@ -1,5 +1,6 @@
 """Master loads with two unique keys, redelivered messages, and arrivals packed into one number."""
 
+import itertools
 import json
 
 import pytest
@@ -7,9 +8,10 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.clean import tag_orders
 from orderloom.plans.masters import load_master
+from orderloom.samples.streams import dumped_topic
 from orderloom.session import shared_folder
 from orderloom.sinks.warehouse import Warehouse
-from orderloom.sources.events import decode, landed_orders, with_arrival, with_number
+from orderloom.sources.events import decode, landed_orders, with_arrival, with_number, without_redelivery
 from orderloom.streaming.ingest import IngestOptions, drain
 
 
@@ -60,22 +62,23 @@ def test_other_masters(spark, store):
 
 
 def test_redelivered_messages_are_dropped_across_restarts(spark, store, tmp_path, event):
-    folder, checkpoint = tmp_path / "landing", str(tmp_path / "cp")
-    folder.mkdir()
+    dump, checkpoint, count = str(tmp_path / "dump"), str(tmp_path / "cp"), itertools.count()
     one, two, bad = json.dumps(event()), json.dumps(event(order_id="o2", quantity=0)), "{cut"
 
-    def land(name, *lines):
-        (tmp_path / name).write_text("".join(line + "\n" for line in lines))
-        (tmp_path / name).rename(folder / name)
-        assert drain(landed_orders(spark, str(folder), by_name=True), store, checkpoint,
-                     IngestOptions(dimensions=(), redelivery="2 hours"), seconds=120)
+    def land(*lines):
+        rows = [(line, 0, next(count)) for line in lines]
+        (spark.createDataFrame(rows, "value string, partition int, offset bigint").withColumn("arrived", F.current_timestamp())
+         .write.mode("append").parquet(dump))
+        assert drain(dumped_topic(spark, dump), store, checkpoint, IngestOptions(dimensions=(), redelivery="2 hours"), seconds=120)
 
-    land("a.json", one, one, two, bad)  # twice in one batch
-    land("b.json", one, bad, json.dumps(event(order_id="o3")))  # after a restart
-    land("c.json", two, json.dumps(event(order_id="o2")), json.dumps(event(brand="other text")))
+    land(one, one, two, bad)  # twice in one batch
+    land(one, bad, json.dumps(event(order_id="o3")))  # after a restart
+    land(two, json.dumps(event(order_id="o2")), json.dumps(event(brand="other text")))
     assert sorted((r["order_id"], r["brand"]) for r in store.read("orders").collect()) == [("o1", "Acme"), ("o2", "Acme"), ("o3", "Acme")]
     assert store.read("batch_metrics").agg(F.sum("consumed")).first()[0] == 6
     assert sorted(r["reject_reason"] for r in store.read("rejects").collect()) == ["bad_quantity", "corrupt_json"]
+    with pytest.raises(ValueError, match="arrival"):
+        without_redelivery(landed_orders(spark, str(tmp_path)), "1 hour")
 
 
 def test_packed_arrivals_keep_their_order(spark, tmp_path, event):
