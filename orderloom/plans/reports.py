@@ -90,17 +90,26 @@ RECENT_COLUMNS = ("order_id", "order_timestamp", "customer_city", "category",
                   "final_amount", "payment_method", "order_status")
 
 
+def _reaching(dates: Column, limit: int) -> Column:
+    """The date down to which (order_date, n) have ``limit`` rows, counted from the newest; null if they have fewer.
+    There is one entry per day."""
+    start = F.struct(F.lit(None).cast("date").alias("order_date"), F.lit(0).cast("bigint").alias("n"))
+    walked = F.aggregate(F.sort_array(dates, asc=False), start, lambda done, day: F.when(done["n"] >= limit, done).otherwise(
+        F.struct(day["order_date"].alias("order_date"), (done["n"] + day["n"]).alias("n"))))
+    return F.when(walked["n"] >= limit, walked["order_date"])
+
+
 def recent_orders(orders: DataFrame, limit: int = 20, as_of: Instant = None, days: int = 7) -> DataFrame:
     """The latest orders. Order ids are unique in a stored table; further ties can only be among copies.
 
-    In a table partitioned by date the partitions since ``days`` before ``as_of`` and that of orders without a time,
-    which come first, are tried first: when they hold ``limit`` orders, no other can be among the latest. Otherwise
-    the whole table is read, to the same answer."""
+    In a table partitioned by date, the newest partitions that together hold ``limit`` orders are enough, and that of
+    orders without a time, which come first. They are found within the query, from the row counts of the partitions since
+    ``days`` before ``as_of``; where those hold fewer, the whole table is read, to the same answer."""
     if "order_date" in orders.columns:
-        newest = orders.filter((F.col("order_date") >= F.date_sub(instant(as_of).cast("date"), days))
-                               | F.col("order_date").isNull())
-        if newest.limit(int(limit)).count() == int(limit):
-            orders = newest
+        since = orders.filter(F.col("order_date") >= F.date_sub(instant(as_of).cast("date"), days))
+        oldest = since.groupBy("order_date").agg(F.count("*").alias("n")).agg(
+            _reaching(F.collect_list(F.struct("order_date", "n")), int(limit))).scalar()
+        orders = orders.filter(F.coalesce(F.col("order_date") >= oldest, F.lit(True)))
     return (orders.select(*RECENT_COLUMNS)
             .orderBy(F.desc_nulls_first("order_timestamp"), "order_id", "final_amount", "category")
             .limit(int(limit)))

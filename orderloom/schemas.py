@@ -79,6 +79,8 @@ BATCH_METRICS = {
 TOUCHED_DATES = {"order_date": "date", "seq": "bigint", "ingest_batch": "string"}
 ORDER_KEYS = {"order_id": "string", "ingest_batch": "string", "bucket": "int"}
 OPEN_BATCHES = {"order_date": "date", "ingest_batch": "string"}
+# One file for each attempt at a batch that ended in an error.
+FAILED_ATTEMPTS = {"failed_at": "timestamp_ntz", "error": "string", "ingest_batch": "string"}
 MASTER_REJECTS = {
     "table_name": "string", "row_key": "string", "reject_reason": "string", "reject_reasons": "array<string>",
     "row_json": "string", "load_label": "string",

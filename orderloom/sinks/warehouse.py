@@ -7,13 +7,13 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession, functions as F
 
 from orderloom import schemas
 from orderloom.operators.absent import held_keys
 from orderloom.operators.constraints import with_defaults
 from orderloom.operators.firsts import keep_first
-from orderloom.sinks import keys
+from orderloom.sinks import generations, keys
 
 
 @dataclass(frozen=True)
@@ -32,6 +32,7 @@ TABLES = {
     "batch_metrics": TableSpec(schemas.BATCH_METRICS, "ingest_batch"),
     "touched_dates": TableSpec(schemas.TOUCHED_DATES, "ingest_batch"),
     "open_batches": TableSpec(schemas.OPEN_BATCHES, "ingest_batch"),
+    "failed_attempts": TableSpec(schemas.FAILED_ATTEMPTS, "ingest_batch"),
     "master_rejects": TableSpec(schemas.MASTER_REJECTS, "load_label"),
     "order_keys": TableSpec(schemas.ORDER_KEYS, "bucket"),
 }
@@ -76,7 +77,14 @@ class Warehouse:
         return True
 
     def read(self, table: str) -> DataFrame:
-        return self._reader(table).parquet(self.path(table))
+        rows = self._reader(table).parquet(self.path(table))
+        return generations.with_generations(self, table, rows) if table in generations.COMPACTED else rows
+
+    def read_folders(self, table: str, values: list) -> DataFrame:
+        """The rows of some partitions, each named by its folder: all of them have to be there."""
+        spec = TABLES[table]
+        folders = [f"{self.path(table)}/{spec.partition}={value}" for value in values]
+        return self._reader(table).option("basePath", self.path(table)).parquet(*folders)
 
     def read_partitions(self, table: str, values: list) -> DataFrame:
         """The rows of some partitions. Only their folders are listed, however many the table has; many values are
@@ -115,24 +123,52 @@ class Warehouse:
 
     def drop_partition(self, table: str, value) -> None:
         """Remove one partition and its folder, if it is there."""
-        system, folder = self._file_system(f"{self.path(table)}/{TABLES[table].partition}={value}")
+        self.drop_folder(f"{self.path(table)}/{TABLES[table].partition}={value}")
+
+    def drop_folder(self, path: str) -> None:
+        system, folder = self._file_system(path)
         system.delete(folder, True)
 
+    def names(self, path: str) -> list[str]:
+        """What lies in a folder; nothing where there is no folder."""
+        system, folder = self._file_system(path)
+        return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+
+    def read_text(self, path: str) -> str:
+        system, place = self._file_system(path)
+        stream = system.open(place)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small file that appears whole or not at all under its name."""
+        system, draft = self._file_system(f"{path}.draft")
+        stream = system.create(draft, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        self.rename(f"{path}.draft", path)
+
     def rename(self, path: str, name: str) -> None:
         system, place = self._file_system(path)
         if not system.rename(place, self._file_system(name)[1]):
             raise OSError(f"{path} could not be renamed")
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame, written: Observation | None = None) -> None:
         """Add rows, as one commit. Rows of one partition value are brought together, and split again where one
-        value has very many, so that neither tiny nor huge files result."""
+        value has very many, so that neither tiny nor huge files result. ``written`` gets the number of ``rows``,
+        counted behind the last shuffle, where a task that is run again is counted once."""
         spec = TABLES[table]
         rows = rows.select(*spec.layout)
         if spec.partition:
-            rows.hint("rebalance", spec.partition).write.mode("append").partitionBy(spec.partition).parquet(
-                self.path(table))
-        else:
-            rows.write.mode("append").parquet(self.path(table))
+            rows = rows.hint("rebalance", spec.partition)
+        if written:
+            rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        writer = rows.write.mode("append")
+        (writer.partitionBy(spec.partition) if spec.partition else writer).parquet(self.path(table))
 
     def replace_partitions(self, table: str, rows: DataFrame) -> None:
         """Overwrite the partitions that occur in ``rows`` and no others; repeating it changes nothing."""

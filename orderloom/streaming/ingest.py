@@ -7,11 +7,12 @@ batch, and the stream replays it: nothing is skipped."""
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.operators.absent import held_keys
@@ -20,14 +21,20 @@ from orderloom.operators.constraints import order_rules, orphan_keys, tag_orphan
 from orderloom.operators.dates import listed_dates
 from orderloom.operators.sized import broadcast_if_small
 from orderloom.plans.rollup import last_batch
-from orderloom.schemas import BATCH_METRICS, CATEGORIES, ddl
+from orderloom.schemas import BATCH_METRICS, CATEGORIES, FAILED_ATTEMPTS, ddl
 from orderloom.sinks import keys
+from orderloom.sinks.generations import fold_batches
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources.events import decode, with_arrival, with_number, without_redelivery
+from orderloom.streaming.totals import RunTotals, Totals, log_totals
+
+_log = logging.getLogger(__name__)
 
 # Poll interval of the live job and time limit of an hourly drain.
 LIVE_TRIGGER = "1 second"
 DRAIN_SECONDS = 300
+# How long a drain waits for word of its own end, which another thread brings.
+REPORT_SECONDS = 10
 
 
 @dataclass(frozen=True)
@@ -49,8 +56,9 @@ def utc_now() -> dt.datetime:
 
 
 def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label: str,
-               options: IngestOptions = IngestOptions(), now: dt.datetime | None = None) -> None:
-    """Process one micro-batch; ``label`` must be the same whenever this batch is repeated."""
+               options: IngestOptions = IngestOptions(), now: dt.datetime | None = None) -> dict[str, int]:
+    """Process one micro-batch; ``label`` must be the same whenever this batch is repeated. Returns its counters, which
+    are taken while the rejects are written; ``failed`` is the number of earlier attempts at it that ended in an error."""
     began = now or utc_now()
     # Decoded and numbered once: first copies are told by meeting the batch with itself.
     raw = decode(with_arrival(messages)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -64,18 +72,24 @@ def load_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int, label:
             kept.extend(lost.values())
             tagged = tag_orphans(tagged, {name: broadcast_if_small(keys) for name, keys in lost.items()})
             kept.append(tagged.persist(StorageLevel.MEMORY_AND_DISK))
-        warehouse.replace_partition("rejects", label, rejected_orders(tagged))
+        seen = Observation()
+        watched = tagged.observe(seen, F.count(F.lit(1)).alias("consumed"),
+                                 F.count_if(F.size("reject_reasons") > 0).alias("invalid"))
+        warehouse.replace_partition("rejects", label, rejected_orders(watched))
         valid = valid_orders(tagged).withColumns(
             {"ingest_batch": F.lit(label), "order_date": F.to_date("order_timestamp")})
         held = _insert(warehouse, valid, label, options.fixed_dates)
         seq = last_batch(warehouse.read("touched_dates")) + 1
         touched = valid.select("order_date").distinct()
         warehouse.replace_partition("touched_dates", label, touched.withColumn("seq", F.lit(seq).cast("bigint")))
-        counts = tagged.agg(F.count("*").alias("consumed"),
-                            F.count_if(F.size("reject_reasons") > 0).alias("invalid")).first()
-        inserted = counts["consumed"] - counts["invalid"] - held
-        metrics = [(batch_id, counts["consumed"], inserted, counts["invalid"], 0, now or utc_now(), label)]
+        counts = {name: int(seen.get[name]) for name in ("consumed", "invalid")}
+        counts["inserted"] = counts["consumed"] - counts["invalid"] - held
+        counts["failed"] = len(warehouse.files("failed_attempts", label))
+        metrics = [(batch_id, counts["consumed"], counts["inserted"], counts["invalid"], counts["failed"],
+                    now or utc_now(), label)]
         warehouse.replace_partition("batch_metrics", label, warehouse.spark.createDataFrame(metrics, ddl(BATCH_METRICS)))
+        fold_batches(warehouse)
+        return counts
     finally:
         for table in reversed(kept):
             table.unpersist()
@@ -91,13 +105,13 @@ def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: boo
     try:
         others = held.filter(F.col("ingest_batch") != label).select("order_id").distinct().count()
         fresh = valid.join(held, "order_id", "left_anti")
-        number = fresh.count()
+        written = Observation()
         keys.open_batch(warehouse, label, dates)
-        warehouse.append("orders", fresh)
+        warehouse.append("orders", fresh, written)
         if fixed_dates:  # the write drops what is cached of the orders, so what is fresh is told from the table
             keys.recover(warehouse)
         else:
-            keys.add_keys(warehouse, fresh, label, number)
+            keys.add_keys(warehouse, fresh, label, int(written.get["rows"]))
             keys.close_batch(warehouse, label)
         keys.fold_keys(warehouse)
         return others
@@ -105,11 +119,32 @@ def _insert(warehouse: Warehouse, valid: DataFrame, label: str, fixed_dates: boo
         held.unpersist()
 
 
-def batch_writer(warehouse: Warehouse, options: IngestOptions = IngestOptions()) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function. Batches are labelled by the query id, which lives in the checkpoint."""
+def _note_failure(warehouse: Warehouse, label: str, error: Exception) -> None:
+    """One row, in one file, for an attempt that ended in an error. The error itself matters more than its note."""
+    try:
+        row = [(utc_now(), f"{type(error).__name__}: {error}", label)]
+        noted = warehouse.spark.createDataFrame(row, ddl(FAILED_ATTEMPTS))
+        warehouse.append("failed_attempts", noted.coalesce(1))
+    except Exception:
+        _log.exception("the failure of batch %s could not be noted", label)
+
+
+def batch_writer(warehouse: Warehouse, options: IngestOptions = IngestOptions(),
+                 totals: RunTotals | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function. Batches are labelled by the query id, which lives in the checkpoint. An error is
+    noted and raised; a driver that is killed notes nothing."""
     def write(messages: DataFrame, batch_id: int) -> None:
         query = messages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        load_batch(warehouse, messages, batch_id, f"{query}-{batch_id}", options)
+        label = f"{query}-{batch_id}"
+        try:
+            counts = load_batch(warehouse, messages, batch_id, label, options)
+        except Exception as error:
+            _note_failure(warehouse, label, error)
+            if totals:
+                totals.add({"failed": 1})
+            raise
+        if totals:  # earlier attempts are of earlier runs
+            totals.add({**counts, "failed": 0})
 
     return write
 
@@ -118,26 +153,37 @@ def _stream(messages: DataFrame, options: IngestOptions) -> DataFrame:
     return without_redelivery(messages, options.redelivery) if options.redelivery else messages
 
 
-def start_live(messages: DataFrame, warehouse: Warehouse, checkpoint: str,
-               options: IngestOptions = IngestOptions(), trigger: str = LIVE_TRIGGER) -> StreamingQuery:
-    """Run until stopped. The checkpoint holds this job's position in the stream: one folder per job."""
-    return (_stream(messages, options).writeStream.foreachBatch(batch_writer(warehouse.create(), options))
-            .option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start())
+def _start(messages: DataFrame, warehouse: Warehouse, checkpoint: str, options: IngestOptions, trigger: dict,
+           totals: RunTotals) -> StreamingQuery:
+    writer = batch_writer(warehouse.create(), options, totals)
+    return totals.watch(_stream(messages, options).writeStream.foreachBatch(writer)
+                        .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def start_live(messages: DataFrame, warehouse: Warehouse, checkpoint: str, options: IngestOptions = IngestOptions(),
+               trigger: str = LIVE_TRIGGER, report: Callable[[Totals], None] = log_totals) -> StreamingQuery:
+    """Run until stopped; ``report`` is called with the run's totals then, whatever ended it. The checkpoint holds this
+    job's position in the stream: one folder per job."""
+    totals = RunTotals(warehouse.spark, report)
+    return _start(messages, warehouse, checkpoint, options, {"processingTime": trigger}, totals)
 
 
 def drain(messages: DataFrame, warehouse: Warehouse, checkpoint: str, options: IngestOptions = IngestOptions(),
-          seconds: float | None = DRAIN_SECONDS) -> bool:
+          seconds: float | None = DRAIN_SECONDS, report: Callable[[Totals], None] = log_totals) -> bool:
     """Process what has arrived so far, then stop. Returns False when time ran out first; the rest, and a batch
-    that was cut off, are left to the next run."""
-    query = (_stream(messages, options).writeStream.foreachBatch(batch_writer(warehouse.create(), options))
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    if seconds is None:
-        query.awaitTermination()
-        return True
-    finished = query.awaitTermination(seconds)
-    if not finished:
-        query.stop()
-    return bool(finished)
+    that was cut off, are left to the next run. ``report`` gets the run's totals in both cases and after an error."""
+    totals = RunTotals(warehouse.spark, report)
+    query = _start(messages, warehouse, checkpoint, options, {"availableNow": True}, totals)
+    try:
+        if seconds is None:
+            query.awaitTermination()
+            return True
+        finished = query.awaitTermination(seconds)
+        if not finished:
+            query.stop()
+        return bool(finished)
+    finally:
+        totals.ended.wait(REPORT_SECONDS)
 
 
 def ingest_totals(metrics: DataFrame) -> DataFrame:

@@ -81,6 +81,25 @@ def test_recent_orders_read_recent_days(store):
     assert re.search(r"PartitionFilters: \[.*order_date#\d+ >= 2024-05-25", text)
 
 
+def test_recent_orders_read_the_newest_days_that_are_enough(spark, tmp_path):
+    """No job runs before the result is asked for, and days that aren't needed are not opened: they hold no Parquet."""
+    path = str(tmp_path / "orders")
+    (spark.sql("""
+        select concat('o', id) as order_id, timestamp_ntz '2024-05-01 08:00:00' + make_interval(0, 0, 0, int(id div 2)) as order_timestamp,
+          'Pune' as customer_city, 'Books' as category, cast(id as decimal(12,2)) as final_amount, 'UPI' as payment_method,
+          'Placed' as order_status, date '2024-05-01' + int(id div 2) as order_date from range(12)""")
+     .write.partitionBy("order_date").parquet(path))
+    (tmp_path / "orders" / "order_date=2024-04-01").mkdir()
+    (tmp_path / "orders" / "order_date=2024-04-01" / "part-0.parquet").write_text("not a file of rows")
+    orders = spark.read.schema("order_id string, order_timestamp timestamp_ntz, customer_city string, category string, "
+                               "final_amount decimal(12,2), payment_method string, order_status string, order_date date").parquet(path)
+    found = reports.recent_orders(orders, 3, "2024-05-06 12:00:00", 4)
+    assert re.search(r"PartitionFilters: \[.*order_date#\d+ >= (scalar-)?[sS]ubquery", plan(found))
+    assert [r[0] for r in found.collect()] == ["o10", "o11", "o8"]
+    with pytest.raises(Exception, match="part-0"):
+        reports.recent_orders(orders, 11, "2024-05-06 12:00:00", 4).collect()
+
+
 def test_a_rollup_reads_only_the_days_it_recomputes(spark, store):
     dates = spark.sql("select date '2024-04-30' as order_date")
     text = plan(rollup.daily_summary(on_dates(store.read("orders"), dates)))

@@ -139,9 +139,61 @@ def test_only_whole_messages_are_decoded(spark, event):
     assert [r["payload"] for r in got] == [None] * 3 + [x or "" for x in flawed]
 
 
+def test_totals_are_told_when_a_drain_ends_or_fails(spark, store, landing, tmp_path, event, monkeypatch):
+    def totals():
+        told = []
+        stream = landed_orders(spark, landing.folder, files_per_batch=1, by_name=True)
+        try:
+            drain(stream, store, str(tmp_path / "cp"), seconds=120, report=told.append)
+        finally:
+            assert len(told) == 1
+            assert (told[0]["error"] is not None) == bool(told[0]["failed"])
+            seen.append([told[0][name] for name in ("batches", "consumed", "inserted", "invalid", "failed")])
+
+    seen = []
+    landing("a.json", event(), event(order_id="o2", quantity=0))
+    landing("b.json", event(brand="again"), event(order_id="o3"))
+    totals()
+    assert seen.pop() == [2, 4, 2, 1, 0]
+    landing("c.json", event(order_id="o4"))
+    real = Warehouse.replace_partition
+
+    def fail(self, table, value, rows):
+        if table == "touched_dates":
+            raise RuntimeError("lost")
+        real(self, table, value, rows)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "replace_partition", fail)
+        for _ in range(2):
+            with pytest.raises(Exception, match="lost"):
+                totals()
+            assert seen.pop() == [0, 0, 0, 0, 1]
+    totals()
+    assert seen.pop() == [1, 1, 1, 0, 0]
+    attempts = store.read("failed_attempts").collect()
+    assert len(attempts) == 2 and "lost" in attempts[0]["error"]
+    assert {r["batch_id"]: r["failed"] for r in store.read("batch_metrics").collect()} == {0: 0, 1: 0, 2: 2}
+    assert ingest_totals(store.read("batch_metrics")).first()["failed"] == 2
+    totals()
+    assert seen.pop() == [0, 0, 0, 0, 0]
+
+
+def test_counters_of_batches_without_rows_or_news(spark, store, event):
+    def batch(*events):
+        rows = [(json.dumps(e), i) for i, e in enumerate(events)]
+        return spark.createDataFrame(rows, "value string, n int").select("value", F.struct("n").alias("arrival"))
+
+    assert load_batch(store, batch(), 0, "L-0") == {"consumed": 0, "invalid": 0, "inserted": 0, "failed": 0}
+    assert load_batch(store, batch(event()), 1, "L-1")["inserted"] == 1
+    known = load_batch(store, batch(event(), event(order_id="bad", quantity=0)), 2, "L-2")
+    assert known == {"consumed": 2, "invalid": 1, "inserted": 0, "failed": 0}
+
+
 def test_live_job_takes_files_as_they_come(spark, store, landing, tmp_path, event):
     landing("a.json", event())
-    query = start_live(landed_orders(spark, landing.folder), store, str(tmp_path / "cp"))
+    told = []
+    query = start_live(landed_orders(spark, landing.folder), store, str(tmp_path / "cp"), report=told.append)
     try:
         query.processAllAvailable()
         landing("b.json", event(order_id="o2"))
@@ -151,6 +203,10 @@ def test_live_job_takes_files_as_they_come(spark, store, landing, tmp_path, even
     finally:
         query.stop()
     assert stored(store) == {("o1", "Acme"), ("o2", "Acme")}
+    deadline = time.time() + 20
+    while not told and time.time() < deadline:
+        time.sleep(0.1)
+    assert [(t["consumed"], t["inserted"], t["failed"], t["error"]) for t in told] == [(2, 2, 0, None)]
 
 
 def test_hourly_job_counts_late_orders_and_stops_at_the_gate(spark, store, landing, tmp_path, event):
