@@ -15,6 +15,7 @@ from orderloom.plans.hourly import run_hourly
 from orderloom.samples import streams, tables as given
 from orderloom.schemas import MONEY, ORDER_COLUMNS, SUMMARY_KEYS, SUMMARY_MEASURES
 from orderloom.session import shared_folder
+from orderloom.sinks.generations import fold_batches
 from orderloom.sinks.publish import publish_rows
 from orderloom.sinks.warehouse import Warehouse, insert_if_absent
 from orderloom.sources.adhoc import fetch
@@ -377,6 +378,15 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reasons(warehouse.read("rejects"))
 
 
+@register
+def stream_rejects_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rejects once all batches but the last are folded into a generation."""
+    warehouse, _ = streams.ingest_waves(spark, sf_dir)
+    if "rejects" not in fold_batches(warehouse, 0):
+        raise RuntimeError("nothing was folded")
+    return _reasons(warehouse.read("rejects"))
+
+
 @register
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over the micro-batches of three waves."""

@@ -17,7 +17,7 @@ from orderloom.session import shared_folder
 from orderloom.sinks.warehouse import Warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITING = {"daily_summary_upsert", "master_load", "stream_ingest", "stream_rejects", "batch_metrics",
+WRITING = {"daily_summary_upsert", "master_load", "stream_ingest", "stream_rejects", "stream_rejects_folded", "batch_metrics",
            "stream_replay", "hourly_job"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="given tables are not here")
