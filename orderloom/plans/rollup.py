@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions.calendar import Day, Instant, calendar_day, instant, on_day
 from orderloom.operators.dates import on_dates
@@ -16,14 +16,16 @@ CARDS = ("Credit Card", "Debit Card")
 CASH = ("Cash on Delivery",)
 
 
-def daily_summary(orders: DataFrame, upi: Sequence[str] = UPI, cards: Sequence[str] = CARDS,
-                  cash: Sequence[str] = CASH) -> DataFrame:
-    """Thirteen measures per day, category and customer region of the given orders, whatever their status.
+def summary_keys() -> tuple[Column, ...]:
+    """Day, category and customer region of an order."""
+    return F.to_date("order_timestamp").alias("summary_date"), F.col("category"), F.col("customer_region").alias("region")
 
-    Counting distinct customers makes Spark shuffle on the group *and* the customer first, so that one large
-    group is still spread over many tasks."""
+
+def summary_measures(upi: Sequence[str] = UPI, cards: Sequence[str] = CARDS,
+                     cash: Sequence[str] = CASH) -> dict[str, Column]:
+    """The thirteen measures by name."""
     status, payment = F.col("order_status"), F.col("payment_method")
-    measures = {
+    return {
         "total_orders": F.count("*"),
         "total_revenue": F.sum("final_amount"),
         "total_tax": F.sum("tax_amount"),
@@ -38,9 +40,17 @@ def daily_summary(orders: DataFrame, upi: Sequence[str] = UPI, cards: Sequence[s
         "card_count": F.count_if(payment.isin(*cards)),
         "cod_count": F.count_if(payment.isin(*cash)),
     }
-    keys = (F.to_date("order_timestamp").alias("summary_date"), "category", F.col("customer_region").alias("region"))
-    return orders.groupBy(*keys).agg(
-        *(measure.cast(SUMMARY_MEASURES[name]).alias(name) for name, measure in measures.items()))
+
+
+def daily_summary(orders: DataFrame, upi: Sequence[str] = UPI, cards: Sequence[str] = CARDS,
+                  cash: Sequence[str] = CASH) -> DataFrame:
+    """Thirteen measures per day, category and customer region of the given orders, whatever their status.
+
+    Counting distinct customers makes Spark shuffle on the group *and* the customer first, so that one large
+    group is still spread over many tasks."""
+    return orders.groupBy(*summary_keys()).agg(
+        *(measure.cast(SUMMARY_MEASURES[name]).alias(name)
+          for name, measure in summary_measures(upi, cards, cash).items()))
 
 
 def last_batch(touched: DataFrame) -> int:
@@ -61,7 +71,11 @@ def upsert_daily_summary(orders: DataFrame, path: str, dates: DataFrame | None =
         dated = orders if "order_date" in orders.columns else orders.withColumn(
             "order_date", F.to_date("order_timestamp"))
         chosen = on_dates(dated, dates)
-    summary = daily_summary(chosen, **vocabulary)
+    write_summary(daily_summary(chosen, **vocabulary), path, computed_at, through)
+
+
+def write_summary(summary: DataFrame, path: str, computed_at: Instant, through: int) -> None:
+    """Make ``summary`` all that its days hold."""
     (summary.withColumn("computed_at", instant(computed_at)).withColumn("through_seq", F.lit(through).cast("bigint"))
      .select(*DAILY_SUMMARY)
      .hint("rebalance", "summary_date")

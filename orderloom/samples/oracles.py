@@ -459,6 +459,7 @@ select (select count(*) from tagged) as consumed, (select count(*) from stored)
     "stream_replay": f"""{STREAM}
 select count(*) as rows_before, count(*) as rows_after from stored""",
     "hourly_job": f"{STREAM} {_summary('stored')}",
+    "daily_summary_merged": f"{MONTHS} {_summary('stored')}",
     "stream_ingest_open": f"{MONTHS} select {_ORDER_COLUMNS}, cast(order_timestamp as date) as order_date from stored",
     "stream_bounded": f"{STREAM} select {_ORDER_COLUMNS}, cast(order_timestamp as date) as order_date from stored",
     "order_key_index": f"{MONTHS} select order_id from stored",

@@ -417,6 +417,18 @@ def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(warehouse.read("daily_summary").select(*SUMMARY_KEYS, *SUMMARY_MEASURES))
 
 
+@register
+def daily_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary after three waves of orders, most of them of days that earlier waves had orders of, each added."""
+    root = shared_folder(spark, "merged")
+    warehouse = Warehouse(spark, f"{root}/warehouse").create()
+    streams.load_masters(spark, sf_dir, warehouse)
+    for _ in streams.arriving_waves(spark, sf_dir, f"{root}/landing", given.month_time()):
+        run_hourly(landed_orders(spark, f"{root}/landing", by_name=True), warehouse, f"{root}/checkpoint",
+                   given.AS_OF, streams.OPEN, dates="merged", seconds=None, **given.PAYMENTS)
+    return plain(warehouse.read("daily_summary").select(*SUMMARY_KEYS, *SUMMARY_MEASURES))
+
+
 # Orders of all months, found by the index of ids, and reports over what is stored.
 
 
