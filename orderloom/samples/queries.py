@@ -417,6 +417,10 @@ def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(warehouse.read("daily_summary").select(*SUMMARY_KEYS, *SUMMARY_MEASURES))
 
 
+# The last orders of ``month_time`` are of the second of August.
+MONTHS_END = "2001-08-03 00:00:00"
+
+
 @register
 def daily_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary after three waves of orders, most of them of days that earlier waves had orders of, each added."""
@@ -425,7 +429,7 @@ def daily_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams.load_masters(spark, sf_dir, warehouse)
     for _ in streams.arriving_waves(spark, sf_dir, f"{root}/landing", given.month_time()):
         run_hourly(landed_orders(spark, f"{root}/landing", by_name=True), warehouse, f"{root}/checkpoint",
-                   given.AS_OF, streams.OPEN, dates="merged", seconds=None, **given.PAYMENTS)
+                   MONTHS_END, streams.OPEN, dates="merged", seconds=None, **given.PAYMENTS)
     return plain(warehouse.read("daily_summary").select(*SUMMARY_KEYS, *SUMMARY_MEASURES))
 
 
