@@ -143,13 +143,11 @@ def ngram_jaccard_components(docs: DataFrame, width: int = 5, threshold: int = 8
     classes = settle(members.where("key is not null").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.min("n_shingles").alias("n")), "classes")
     runs = settle(_shared_signatures(docs, classes, width, threshold), "runs")
-    links = _link(docs, classes, runs, width, threshold)
-    if links is None:
-        named = members.withColumn("found", F.lit(None).cast("bigint"))
+    linked = _link(docs, classes, runs, width, threshold)
+    if linked is None:
         own = classes.select("key", F.col("least").alias("found"))
     else:
-        named = classes.join(components(links).withColumnRenamed("node", "key"), "key", "left")
-        named = named.withColumn("component", F.coalesce("component", "key"))
+        named = classes.join(linked, "key", "left").withColumn("component", F.coalesce("component", "key"))
         least = named.groupBy("component").agg(F.min("least").alias("found"))
         own = named.join(least, "component").select("key", "found")
     return members.join(own, "key", "left").select(
@@ -212,7 +210,8 @@ def _shared_signatures(docs: DataFrame, classes: DataFrame, width: int, threshol
         sig, key = sig[fresh], key[fresh]
         same = sig[1:] == sig[:-1]
         shared = np.zeros(len(sig), dtype=bool)
-        shared[1:], shared[:-1] = same, shared[:-1] | same
+        shared[1:] = same
+        shared[:-1] |= same
         return pa.table({"sig": pa.array(to_int64(sig[shared])), "key": pa.array(key[shared])})
 
     packed = docs.select("text").mapInArrow(enumerate_, "bucket int, sigs binary, names binary, owners binary")
@@ -262,7 +261,8 @@ def _tested(pairs: DataFrame, bodies: DataFrame, threshold: int, whole: bool) ->
 
 
 def _link(docs: DataFrame, classes: DataFrame, runs: DataFrame, width: int, threshold: int) -> DataFrame | None:
-    """Verified links (a, b) between classes: as many as connect all that linked pairs connect."""
+    """(key, component) of the classes that share signatures, by verified links: as many as connect all that linked
+    pairs connect. Links that are found later only connect the components that there are, not the classes again."""
     if runs.isEmpty():
         return None
     keys = settle(runs.select("key").distinct(), "keys")
@@ -274,33 +274,40 @@ def _link(docs: DataFrame, classes: DataFrame, runs: DataFrame, width: int, thre
         whole = _sets(docs, classes, named, width, lambda s: s.tobytes())
         return settle(_tested(likely, whole, threshold, True), "links")
 
-    links, active = None, runs.withColumn("component", F.col("key"))
+    named, active = keys.withColumn("component", F.col("key")), runs.withColumn("component", F.col("key"))
     for pivots in STAR_PIVOTS:
         rank = F.xxhash64("key", F.pmod("sig", F.lit(pivots)), F.lit(pivots))
         pivots = active.groupBy("sig").agg(F.min(F.struct(rank.alias("h"), "key", "component")).alias("p"))
         pairs = active.join(pivots, "sig").where("p.component <> component").select(
             F.least("p.key", "key").alias("a"), F.greatest("p.key", "key").alias("b")).distinct()
         found = verified(pairs)
-        grown = not found.isEmpty()
-        if grown:
-            links = found if links is None else settle(links.union(found).distinct(), "links")
-        if links is not None:
-            active = _unsettled(runs, links)
-        if active.isEmpty():
-            return links
-        if not grown:
+        if found.isEmpty():
             break
+        named = _merged(named, found)
+        active = _unsettled(active, named)
+        if active.isEmpty():
+            return named
     rest = settle(_across(active, outlines, threshold).distinct(), "rest")
     found = verified(rest)
-    return found if links is None else links.union(found).distinct()
+    return named if found.isEmpty() else _merged(named, found)
+
+
+def _merged(named: DataFrame, links: DataFrame) -> DataFrame:
+    """``named`` (key, component) with the components that ``links`` (a, b) connect made one."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(named.select(F.col("key").alias(end), F.col("component").alias(f"of_{end}")), end)
+    joined = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).where("a <> b").distinct())
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return settle(named.join(joined, "component", "left").select("key", F.coalesce("least", "component").alias("component")),
+                  "named")
 
 
-def _unsettled(runs: DataFrame, links: DataFrame) -> DataFrame:
+def _unsettled(active: DataFrame, named: DataFrame) -> DataFrame:
     """(sig, key, component) of the signatures whose classes lie in several components."""
-    named = runs.join(settle(components(links), "named").withColumnRenamed("node", "key"), "key", "left").select(
-        "sig", "key", F.coalesce("component", "key").alias("component"))
-    several = named.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return settle(named.join(several.select("sig"), "sig", "left_semi"), "active")
+    current = active.select("sig", "key").join(named, "key")
+    several = current.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return settle(current.join(several.select("sig"), "sig", "left_semi").select("sig", "key", "component"), "active")
 
 
 def _across(active: DataFrame, outlines: DataFrame, threshold: int) -> DataFrame:

@@ -94,6 +94,18 @@ def test_jaccard_components(docs):
     assert ngram_jaccard.ngram_jaccard_components(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [8, 40, 300])
+def test_jaccard_finds_each_lone_pair(spark, size):
+    rows = []
+    for k in range(20):  # pairs that share signatures with nobody else
+        text = [f"w{k}x{i}" for i in range(size)]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join([*text, "end"] if k % 2 else text[1:] + text[:1]))]
+    expected = {n: n - n % 2 if linked(*(shingles(rows[i][1]) for i in (n - n % 2, n | 1))) else n for n, _ in rows}
+    got = ngram_jaccard.ngram_jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == expected
+    assert any(of != n for n, of in expected.items()) or size == 8
+
+
 @pytest.mark.parametrize("size", [4, 5, 9, 33, 150])
 def test_signatures_lose_no_linked_pair(size):
     windows = ngram_jaccard.Windows(80)
@@ -530,6 +542,13 @@ def test_word_hashes_follow_the_words():
     assert len(set(known.values())) == len(known)
 
 
+def test_long_regular_words_have_hashes_of_their_own():
+    from orderloom.llm.common import text_bytes, word_hashes
+    marks = "".join("ab"[i.bit_count() & 1] for i in range(4096))
+    hashes, _ = word_hashes(*text_bytes(pa.array([marks, marks.translate(str.maketrans("ab", "ba")), marks.upper()])))
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+
+
 def test_word_tokenizer_agrees_with_the_library_on_hard_words():
     with open(public_tokenizers.path(bm25_packing.VOCABULARY), encoding="utf-8") as file:
         body = file.read()
