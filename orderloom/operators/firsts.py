@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _STAMP = "_first_arrival"
 
@@ -33,6 +33,21 @@ def tag_first(df: DataFrame, keys: list[str], arrival: list[str], flag: str = "i
     return matched.withColumn(flag, F.col(_STAMP).isNotNull()).drop(_STAMP, *names.values())
 
 
+def tag_first_within(df: DataFrame, group: str, keys: list[str], arrival: list[str], flag: str = "is_first",
+                     nowhere: Column | None = None) -> DataFrame:
+    """:func:`tag_first` by ``group`` and ``keys`` with one shuffle, by ``group``, which a join on it then needs no more.
+
+    For keys of few copies: all lines of a group meet in one task, as they do in that join. Rows ``nowhere`` have no key;
+    they count as one, however many they are, and their earliest arrival is an aggregate."""
+    stamp, nowhere = F.struct(*arrival), F.lit(False) if nowhere is None else F.coalesce(nowhere, F.lit(False))
+    lone = df.filter(nowhere).agg(F.min(stamp).alias(_STAMP))
+    marked = df.withColumn("_nowhere", nowhere).repartition(group)
+    own = F.min(stamp).over(Window.partitionBy(group, *keys, "_nowhere"))
+    marked = marked.withColumn("_own", own).crossJoin(F.broadcast(lone))
+    earliest = F.when(F.col("_nowhere"), F.col(_STAMP)).otherwise(F.col("_own"))
+    return marked.withColumn(flag, stamp.eqNullSafe(earliest)).drop("_own", "_nowhere", _STAMP)
+
+
 def keep_first(df: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
     """Only the earliest copy of each key: one shuffle, at most one row per key and task in it."""
     rest = [name for name in df.columns if name not in keys]

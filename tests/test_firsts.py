@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from orderloom.operators.absent import absent_rows, held_keys
-from orderloom.operators.firsts import keep_first, repeated_keys, tag_first
+from orderloom.operators.firsts import keep_first, repeated_keys, tag_first, tag_first_within
 
 
 def skewed(spark, n=3000, seed=3):
@@ -66,3 +66,33 @@ def test_absent_and_held(spark):
     stored = spark.createDataFrame([("b", "x"), ("z", "y")], "key string, batch string")
     assert {r["key"] for r in absent_rows(incoming, stored, ["key"]).collect()} == {"a", "c"}
     assert [tuple(r) for r in held_keys(incoming, stored, ["key"], "batch").collect()] == [("b", "x")]
+
+
+def test_first_copies_within_a_group(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(40) if rng.random() < 0.95 else None, rng.randrange(4), rng.randrange(9), i if i % 3 else None)
+            for i in range(2000)]
+    df = spark.createDataFrame(rows + rows[:50], "g bigint, k int, t int, n bigint")
+    nowhere = (F.col("t") == 7) & (F.col("n") > 100)
+    got = tag_first_within(df, "g", ["k"], ["t", "n"], nowhere=nowhere)
+    keys = {name: F.when(~F.coalesce(nowhere, F.lit(False)), F.col(name)) for name in ("g", "k")}
+    wanted = tag_first(df.withColumns({f"key_{n}": c for n, c in keys.items()}).withColumn(
+        "some", ~F.coalesce(nowhere, F.lit(False))), ["key_g", "key_k", "some"], ["t", "n"])
+    columns = ("g", "k", "t", "n", "is_first")
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, wanted.select(*columns).collect()))
+
+
+def test_tagging_within_a_group_serves_the_join_on_it(spark):
+    lines = spark.range(100).select((F.col("id") % 9).alias("g"), F.col("id").alias("t"))
+    orders = spark.range(9).withColumnRenamed("id", "g")
+    joined = tag_first_within(lines, "g", [], ["t"]).join(orders.hint("merge"), "g")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # one a side
+
+
+def test_a_flag_that_is_there_spares_the_search(spark, event):
+    from orderloom.operators.clean import tag_orders
+    rows = spark.createDataFrame([{k: None if v is None else str(v) for k, v in event(order_id=i).items()} | {"at": n}
+                                  for n, i in enumerate(("a", "b", "a", "b"))]).withColumn("known", F.col("at") < 2)
+    assert sorted(tag_orders(rows, ["at"]).drop("ingested_at").collect()) == sorted(
+        tag_orders(rows, ["at"], first="known").drop("ingested_at").collect())
