@@ -17,6 +17,8 @@ from orderloom.session import shared_folder
 
 #: Bytes of text that one step of vectorised work takes; a longer text is a step of its own.
 SLICE_BYTES = 2 << 20
+#: The same for work that makes a hundred bytes or more for each byte of text.
+SMALL_SLICE_BYTES = 256 << 10
 #: Bytes from which a span is hashed on its own.
 LONG_SPAN = 256
 
@@ -73,7 +75,7 @@ _POWERS: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.ui
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = n + n // 8
         for k, base in enumerate((_BASE, _UNBASE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
@@ -81,13 +83,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with at most ``SLICE_BYTES`` of text each, or one row."""
+def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about ``most`` bytes of text each, or one row."""
     texts = batch.column(column)
     if not len(texts):
         return
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
-    part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    part = (np.cumsum(sizes) - sizes) // most
     starts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(sizes)]])
     for a, b in zip(starts[:-1], starts[1:]):
         yield batch.slice(int(a), int(b - a))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.llm.common import mixed, table, text_bytes, text_slices, word_hashes
+from orderloom.llm.common import SMALL_SLICE_BYTES, mixed, table, text_bytes, text_slices, word_hashes
 from orderloom.operators.sized import broadcast_if_small
 
 #: Texts per language that the model is fitted on, and characters that each of them gives at most.
@@ -294,15 +294,17 @@ def label_documents(docs: DataFrame, training: DataFrame, keep: tuple[str, ...]
     in; an empty table gives an empty result."""
     sample = sorted(map(tuple, training_sample(training).collect()))
     model = docs.sparkSession.sparkContext.broadcast(fit([t for t, _ in sample], [x for _, x in sample]))
-    rows = docs.select(*keep, F.col("text").cast("string").alias(_TEXT))
+    # A text that is kept travels once.
+    text = "text" if "text" in keep and docs.schema["text"].dataType.simpleString() == "string" else _TEXT
+    rows = docs.select(*keep, *([F.col("text").cast("string").alias(_TEXT)] if text == _TEXT else []))
     schema = "".join(f"`{name}` {docs.schema[name].dataType.simpleString()}, " for name in keep)
 
     def run(batches):
         own = model.value
         names = np.array([*own.labels, "und"], dtype=object)
         for batch in batches:
-            for part in text_slices(batch, _TEXT):
-                texts = part.column(_TEXT)
+            for part in text_slices(batch, text, SMALL_SLICE_BYTES):
+                texts = part.column(text)
                 data, offsets = text_bytes(texts)
                 words, bounds = word_hashes(data, offsets)
                 chances = own.posteriors(own.emissions(*features(data, offsets), own.lexicon.pairs(words)), bounds) \

@@ -5,7 +5,10 @@ Size windows ``[low, high]`` are laid so that the smaller set of any linked pair
 larger one. Within a window two linked sets differ in at most ``k`` shingles, so of ``n1 > k`` parts of the shingle
 domain at least one holds the same shingles in both: the hash of one part's content is a signature, and each set
 enumerates one per part. A set with more than ``k`` parts that are not empty leaves the empty ones out, which loses
-nothing, as one of its non-empty parts must still agree.
+nothing, as one of its non-empty parts must still agree. Of its ``p`` non-empty parts all but ``k`` agree with those of
+any set linked to it. So a set that shares fewer signatures links with nothing in that window, and of those shared, in
+one order for all sets, each may leave out the last ``p - k - 1``: two linked sets still have one in common. The order
+goes from signatures of few sets to those of many, so what goes are those of lines that many texts have.
 
 Sets sharing a signature are candidates. They are linked without listing all pairs of a group: rounds of star pairs
 (one pivot per signature) are verified, components are formed, and only signatures that still hold several components
@@ -19,9 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.llm.common import (components, mixed, settle, text_bytes, text_slices, to_int64, word_hashes)
+from orderloom.llm.common import (SMALL_SLICE_BYTES, components, mixed, settle, text_bytes, text_slices, to_int64,
+                                  word_hashes)
 from orderloom.operators.sized import broadcast_if_small
 
 _U = np.uint64
@@ -31,6 +35,8 @@ BUCKET_SIGNATURES = 1_000_000
 #: group's members are near the threshold, several pivots join what one leaves apart.
 STAR_PIVOTS = (1, 8, 32)
 _WIRE = 1_000_000
+#: Low bits of a signature that hold its window; there are about 100 windows up to a billion shingles.
+_WINDOW = 255
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -92,19 +98,31 @@ class Windows:
         return found
 
 
+def _parts(own: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each shingle's part, and where in the sorted set the parts that are not empty start."""
+    part = ((own >> _U(32)) * _U(parts)) >> _U(32)
+    return part, np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
+
+
 def signatures(own: np.ndarray, windows: Windows) -> np.ndarray:
     found = [np.zeros(0, dtype=np.uint64)]
     for window, parts, k in windows.of(len(own)):
-        part = ((own >> _U(32)) * _U(parts)) >> _U(32)
-        starts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
+        part, starts = _parts(own, parts)
         ids, sums = part[starts], np.add.reduceat(own, starts)
         if len(ids) <= k:
             ids, sums = np.arange(parts, dtype=np.uint64), np.bincount(ids.astype(int), minlength=parts).astype(np.uint64)
             sums[part[starts].astype(int)] = np.add.reduceat(own, starts)
-        found.append(mixed(sums ^ mixed((ids + _U(1)) * _U(0x9E3779B97F4A7C15) + _U(window + 1))))
+        sig = mixed(sums ^ mixed((ids + _U(1)) * _U(0x9E3779B97F4A7C15) + _U(window + 1)))
+        found.append(sig & ~_U(_WINDOW) | _U(window & _WINDOW))
     return np.concatenate(found)
 
 
+def shared_at_least(own: np.ndarray, windows: Windows) -> list[tuple[int, int]]:
+    """(window, signatures) for each window: as many as the set shares there with any set that it links with. One, if
+    it lists empty parts too, which the other set may leave out."""
+    return [(window & _WINDOW, max(len(_parts(own, parts)[1]) - k, 1)) for window, parts, k in windows.of(len(own))]
+
+
 def sketch(own: np.ndarray) -> bytes:
     """One byte for each of 2^p parts of the domain, 2^p being about half to all of the size: byte sums of hashes."""
     bits = max(1, len(own).bit_length() - 1)
@@ -131,18 +149,21 @@ def ngram_jaccard_components(docs: DataFrame, width: int = 5, threshold: int = 8
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def keys(batches):
+        windows, least = Windows(threshold), pa.list_(pa.struct([("window", pa.int32()), ("least", pa.int32())]))
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=SMALL_SLICE_BYTES):
                 sets = list(shingle_sets(part.column("text"), width))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())],
-                    names=["doc_id", "n_shingles", "key"])
+                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
+                     pa.array([[{"window": w, "least": m} for w, m in shared_at_least(s, windows)] for s in sets], least)],
+                    names=["doc_id", "n_shingles", "key", "windows"])
 
-    members = settle(docs.mapInArrow(keys, "doc_id long, n_shingles long, key long"), "members")
+    members = settle(docs.mapInArrow(keys, "doc_id long, n_shingles long, key long, windows array<struct<window: int, least: int>>"),
+                     "members")
     classes = settle(members.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.min("n_shingles").alias("n")), "classes")
-    runs = settle(_shared_signatures(docs, classes, width, threshold), "runs")
+        F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"), F.min("windows").alias("windows")), "classes")
+    runs = _needed(_shared_signatures(docs, classes, width, threshold), classes)
     linked = _link(docs, classes, runs, width, threshold)
     if linked is None:
         own = classes.select("key", F.col("least").alias("found"))
@@ -155,7 +176,8 @@ def ngram_jaccard_components(docs: DataFrame, width: int = 5, threshold: int = 8
 
 
 def _shared_signatures(docs: DataFrame, classes: DataFrame, width: int, threshold: int) -> DataFrame:
-    """(sig, key): signatures that at least two classes have. Signatures travel packed, dealt by their own value."""
+    """(sig, key, often): signatures that at least two classes have, and how many have it. Signatures travel packed,
+    dealt by their own value."""
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = int(max(64, total // BUCKET_SIGNATURES + 1))
 
@@ -181,7 +203,7 @@ def _shared_signatures(docs: DataFrame, classes: DataFrame, width: int, threshol
                                               names=["bucket", "sigs", "names", "owners"])
 
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=SMALL_SLICE_BYTES):
                 for own in shingle_sets(part.column("text"), width):
                     if len(own) and (key := set_key(own)) not in seen:
                         seen.add(key)
@@ -208,14 +230,26 @@ def _shared_signatures(docs: DataFrame, classes: DataFrame, width: int, threshol
         fresh = np.ones(len(sig), dtype=bool)
         fresh[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])  # a class met by several tasks counts once
         sig, key = sig[fresh], key[fresh]
-        same = sig[1:] == sig[:-1]
-        shared = np.zeros(len(sig), dtype=bool)
-        shared[1:] = same
-        shared[:-1] |= same
-        return pa.table({"sig": pa.array(to_int64(sig[shared])), "key": pa.array(key[shared])})
+        often = np.unique(sig, return_counts=True)[1]
+        often = np.repeat(often, often)
+        shared = often > 1
+        return pa.table({"sig": pa.array(to_int64(sig[shared])), "key": pa.array(key[shared]), "often": pa.array(often[shared])})
 
     packed = docs.select("text").mapInArrow(enumerate_, "bucket int, sigs binary, names binary, owners binary")
-    return packed.groupBy("bucket").applyInArrow(shared, "sig long, key long")
+    return packed.groupBy("bucket").applyInArrow(shared, "sig long, key long, often long")
+
+
+def _needed(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(sig, key) of the shared signatures by which linked classes find each other: none in windows where a class shares
+    too few to link, and else all but the most frequent that it can do without."""
+    least = classes.select("key", F.explode("windows").alias("of")).select("key", "of.window", "of.least")
+    own = Window.partitionBy("key", "window")
+    spent = F.count("sig").over(own) - F.col("least")
+    ranked = shared.withColumn("window", F.col("sig").bitwiseAND(_WINDOW).cast("int")).join(least, ["key", "window"]).select(
+        "sig", "key", F.row_number().over(own.orderBy("often", "sig")).alias("place"), spent.alias("spent"))
+    kept = settle(ranked.where("place <= spent + 1").select("sig", "key"), "kept")
+    several = kept.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return settle(kept.join(several.select("sig"), "sig", "left_semi"), "runs")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int, form) -> DataFrame:
@@ -225,7 +259,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int, fo
 
     def make(batches):
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, most=SMALL_SLICE_BYTES):
                 sets = [s for s in shingle_sets(part.column("text"), width) if len(s)]
                 if sets:
                     yield pa.RecordBatch.from_arrays(

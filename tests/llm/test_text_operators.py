@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -121,6 +122,45 @@ def test_signatures_lose_no_linked_pair(size):
             assert ngram_jaccard.sketches_differ(x, y) <= len(set(whole.tolist()) ^ set(second.tolist()))
 
 
+def test_a_common_passage_makes_no_candidates(spark, monkeypatch):
+    passage, rows = " ".join(f"common{i}" for i in range(40)), []
+    for k in range(40):  # each with the passage: lone texts, and pairs that link or just do not
+        text = [f"w{k}x{i}" for i in range(120)]
+        rows.append((2 * k, " ".join(text) + " " + passage))
+        if k % 4 == 0:
+            rows.append((2 * k + 1, " ".join([*text[:120 - k], *(f"v{k}x{i}" for i in range(k // 3))]) + " " + passage))
+    sets = {n: shingles(t) for n, t in rows}
+    expected = {n: n - 1 if n % 2 and linked(sets[n], sets[n - 1]) else n for n, _ in rows}
+    assert 2 < sum(of != n for n, of in expected.items()) < 8
+    asked, settle = [], ngram_jaccard.settle
+
+    def watched(frame, purpose):
+        out = settle(frame, purpose)
+        if purpose == "runs":
+            asked.extend(r["key"] for r in out.select("key").distinct().collect())
+        return out
+
+    monkeypatch.setattr(ngram_jaccard, "settle", watched)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in ngram_jaccard.ngram_jaccard_components(docs).collect()} == expected
+    pairs = pa.array([t for n, t in rows if (n & ~1) | 1 in sets])
+    assert set(asked) <= {ngram_jaccard.set_key(x) for x in ngram_jaccard.shingle_sets(pairs, 5)}
+
+
+@pytest.mark.parametrize("size", [4, 5, 9, 33, 150, 600])
+def test_linked_sets_share_as_many_signatures_as_stated(size):
+    windows = ngram_jaccard.Windows(80)
+    for _ in range(100):
+        whole = np.unique(RNG.integers(0, 2**64, size, dtype=np.uint64))
+        second = np.unique(np.concatenate([whole[size // 9:], RNG.integers(0, 2**64, size // 9, dtype=np.uint64)]))
+        if linked(set(whole.tolist()), set(second.tolist())):
+            shared = np.intersect1d(*(ngram_jaccard.signatures(x, windows) for x in (whole, second)))
+            least = [dict(ngram_jaccard.shared_at_least(x, windows)) for x in (whole, second)]
+            both = least[0].keys() & least[1].keys()
+            assert not windows.difference(len(whole) + len(second)) or any(
+                np.count_nonzero(shared & np.uint64(255) == w) >= max(x[w] for x in least) for w in both)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (100, 102)], "a long, b long")
     got = {(r["node"], r["component"]) for r in components(links).collect()}
@@ -362,6 +402,27 @@ def test_languages(spark):
     assert crf_language.label_documents(docs.limit(0), training).count() == 0
 
 
+def test_languages_of_kept_texts_take_little_memory(spark, monkeypatch):
+    ship_package(spark)
+    training = spark.createDataFrame([("the thing of the ring", "en"), ("das Haus und ein Ring", "de")] * 20, "text string, lang string")
+    rows = [(1, "the thing"), (2, None), (3, "ein Haus"), (3, "ein Haus")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lone, kept = (crf_language.label_documents(docs, training, keep) for keep in (("doc_id",), ("doc_id", "text")))
+    assert sorted(map(str, kept.drop("text").collect())) == sorted(map(str, lone.collect()))
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(rows)
+    taken = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda rows, work, schema: taken.append((rows, work)) or rows)
+    crf_language.label_documents(docs, training, ("doc_id", "text"))
+    sent, work = taken[0]
+    assert sent.columns == ["doc_id", "text"]  # the text once
+    text = pa.array([prose(400)] * 2000)
+    tracemalloc.start()
+    done = sum(out.num_rows for out in work([pa.RecordBatch.from_arrays([pa.array(range(2000)), text], names=sent.columns)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert done == 2000 and peak < 100e6
+
+
 def test_many_languages_with_long_texts_only(spark):
     """Fifteen languages share their letters, so words tell them apart; no text of theirs is short."""
     ship_package(spark)
