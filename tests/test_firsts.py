@@ -74,3 +74,16 @@ def test_a_flag_that_is_there_spares_the_search(spark, event):
                                   for n, i in enumerate(("a", "b", "a", "b"))]).withColumn("known", F.col("at") < 2)
     assert sorted(tag_orders(rows, ["at"]).drop("ingested_at").collect()) == sorted(
         tag_orders(rows, ["at"], first="known").drop("ingested_at").collect())
+
+
+def test_later_copies_are_told_by_narrow_columns(spark):
+    from orderloom.operators.firsts import later_copies, tag_listed
+    rows, df = skewed(spark)
+    first = {row[2] for row in brute_first([(key, 0, seq, value) for key, part, seq, value in rows])}
+    listed = later_copies(df, ["key"], "seq", F.col("part") < 9, "seq")
+    got = tag_listed(df, listed, "seq", "later")
+    assert got.columns == [*df.columns, "later"]
+    assert {r["seq"] for r in got.collect() if not r["later"]} == first and got.count() == len(rows)
+    among = later_copies(df, ["key"], "seq", F.col("part") == 1, "seq").collect()
+    ones = [row for row in rows if row[1] == 1]
+    assert {r["seq"] for r in among} == {r[2] for r in ones} - {r[2] for r in brute_first(ones)}

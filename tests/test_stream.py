@@ -257,3 +257,74 @@ def test_kafka_reader_options():
         "kafka.bootstrap.servers": "h:9092", "subscribe": "orders", "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "100"}
     assert "maxOffsetsPerTrigger" not in kafka_options("h:9092", "orders")
+
+
+def test_a_batch_holds_nothing_wide_and_leaves_no_stage(spark, store, event, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rows = [(json.dumps(event(**change)), n) for n, change in enumerate((
+        {}, {"brand": "later"}, {"order_id": None}, {"order_id": None}, {"customer_id": "c9", "order_id": "o2"},
+        {"customer_id": "c9", "quantity": 0, "order_id": "o3"}, {"customer_id": "c9", "brand": "later"}))]
+    messages = spark.createDataFrame(rows, "value string, n int").select("value", F.struct("n").alias("arrival"))
+    widths, real = [], DataFrame.persist
+
+    def persist(self, *level):
+        widths.append(len(self.columns))
+        return real(self, *level)
+
+    monkeypatch.setattr(DataFrame, "persist", persist)
+    counts = load_batch(store, messages, 0, "L-0")
+    assert max(widths) <= 2
+    assert counts == {"consumed": 7, "invalid": 6, "inserted": 1, "failed": 0}
+    assert sorted((r["order_id"] or "", ",".join(r["reject_reasons"])) for r in store.read("rejects").collect()) == [
+        ("", "duplicate_in_batch"), ("", "null_order_id"), ("o1", "duplicate_in_batch"),
+        ("o1", "duplicate_in_batch,orphan_customer"), ("o2", "orphan_customer"), ("o3", "bad_quantity,orphan_customer")]
+    assert store.names(store.path("_staged")) == []
+    monkeypatch.setattr(Warehouse, "append", lambda *given: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load_batch(store, messages, 1, "L-1")
+    assert store.names(store.path("_staged")) == []
+
+
+def test_orders_are_typed_after_the_rejects_are_left_out(spark, event):
+    from orderloom.operators.clean import tag_orders, valid_orders
+    raw = spark.createDataFrame([{k: str(v) for k, v in event().items()}]).withColumns({"_first": F.lit(True), "lost": F.rand() < 0})
+    tagged = tag_orders(raw, [], first="_first", marks=[("lost", F.col("lost"))])
+    plan = valid_orders(tagged)._jdf.queryExecution().optimizedPlan().toString()
+    typing, _, below = plan.partition("Filter")
+    assert typing.count("rim(") >= 6 and "customer_age" in typing and "rim(customer_city" not in below
+
+
+@pytest.mark.parametrize("text, whole", [('{"order_id": "a"}', True), ('{"order_id": "a"} \n', True), ('{"order_id": "}"}', True),
+                                         ('{"order_id": {"b": 1}}', True), ('{"order_id": "a"}}', False), ("}", False),
+                                         ('{"order_id": "a"}{', False), ('{"order_id": "\u00e9\u20ac"}', True)])
+def test_bytes_behind_the_closing_brace(spark, text, whole):
+    row = decode(spark.createDataFrame([(text,)], "value string"), ["order_id"]).first()
+    assert (row["payload"] is None) == whole
+
+
+def test_stripping_looks_at_the_ends_only(spark):
+    from orderloom.functions.coerce import _SPACES, stripped_text
+    words = ["a", " a", "a\t", "\u00a0a\u3000", "\u00e9", "a b", "", " ", "~", "!a\x1f", "\u2009\u00e9x", "x\u00e9\u2009", None]
+    got = spark.createDataFrame([(w,) for w in words], "t string").select(stripped_text(F.col("t")).alias("t")).collect()
+    assert [r["t"] for r in got] == ["None" if w is None else w.strip(_SPACES) for w in words]
+
+
+def test_waves_are_ordered_before_they_are_widened(spark, tmp_path):
+    from orderloom.samples import streams, tables as given
+    from orderloom.schemas import ddl
+    made = {"region": (1, "EAST"), "nation": (1, "PERU", 1), "customer": (1, "C", 1, 5.0, "AUTO"), "supplier": (1, "S", 1, 5.0),
+            "part": (1, "P", "B", "PROMO", 7, 9.5)}
+    at = "timestamp_ntz '1996-01-0{} 00:00:00'"
+    for name, row in made.items():
+        spark.createDataFrame([row], ddl(given.LAYOUTS[name])).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.sql(f"select 1L as o_orderkey, 1L as o_custkey, 'O' as o_orderstatus, 1d as o_totalprice, {at.format(1)} as o_orderdate, "
+              "'5-LOW' as o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = " union all ".join(
+        f"select 1L as l_orderkey, 1L as l_partkey, 1L as l_suppkey, {n} as l_linenumber, 2d as l_quantity, 3d as l_extendedprice, "
+        f"0d as l_discount, 0d as l_tax, 'N' as l_returnflag, 'O' as l_linestatus, {at.format(9 - n)} as l_shipdate" for n in (1, 2, 3))
+    spark.sql(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    events = given.arriving_events(spark, str(tmp_path), streams._shipped("1996-01-01", "1996-01-08"))
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("date_format") < plan.index("RepartitionByExpression") < plan.index("Join")
+    assert [r["order_id"] for r in events.collect()] == ["1-3", "1-2"]
