@@ -98,9 +98,25 @@ def rejected_orders(tagged: DataFrame) -> DataFrame:
 def transform(raw: DataFrame, arrival: list[str], categories: Sequence[str] = CATEGORIES,
               extra_rules: Sequence[Rule] = (), ingested_at: Instant = None,
               first: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(valid, rejects)`` of one batch of raw events."""
-    tagged = tag_orders(raw, arrival, categories, extra_rules, ingested_at, first)
-    return valid_orders(tagged), rejected_orders(tagged)
+    """``(valid, rejects)`` of one batch of raw events.
+
+    No row breaks a rule and is valid, so the rules are conditions on the events as well, each by itself: what it looks
+    at tells how far down it can be met, at best where a table is read, before the rows are joined and shuffled. That
+    holds for ``first`` too, which is told of all events before any is left out."""
+    rules = [*business_rules(categories), *extra_rules]
+    kept = _unbroken(raw, rules).filter(first) if first else raw
+    return (valid_orders(tag_orders(kept, arrival, categories, extra_rules, ingested_at, first)),
+            rejected_orders(tag_orders(raw, arrival, categories, extra_rules, ingested_at, first)))
+
+
+def _unbroken(raw: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Events that can be decoded and break no rule once they are typed."""
+    typed = [col.alias(name) for name, col in typed_columns().items()]
+    events = with_required_fields(raw, (*EVENT_FIELDS, "payload")).filter(F.col("payload").isNull())
+    checked = events.select(F.struct(*raw.columns).alias("_event"), *typed)
+    for _, broken in rules:
+        checked = checked.filter(~F.coalesce(broken, F.lit(False)))
+    return checked.select("_event.*")
 
 
 def sink_columns(orders: DataFrame) -> DataFrame:

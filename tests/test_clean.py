@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.operators import clean, constraints
 from orderloom.schemas import EVENT_FIELDS, ORDER_COLUMNS
@@ -117,3 +118,33 @@ def test_sink_columns(spark):
     row = clean.sink_columns(spark.createDataFrame([("o1", 5)], "order_id string, extra int")).first()
     assert list(row.asDict()) == list(ORDER_COLUMNS)
     assert row["is_first_order"] is False and row["quantity"] is None
+
+
+def test_rules_are_met_before_the_joins(spark, event):
+    from orderloom.operators import clean
+    from orderloom.operators.constraints import order_rules
+    changes = [{}, {"quantity": "0"}, {"quantity": "abc"}, {"quantity": None}, {"final_amount": "0.004"}, {"category": " Books\t"},
+               {"category": None}, {"order_timestamp": "garbage"}, {"unit_price": "-1"}, {"unit_price": None}, {"order_id": None},
+               {"total_amount": None}, {"event_timestamp": None}, {"brand": "copy"}, {"order_status": None}]
+    rows = [{k: None if v is None else str(v) for k, v in event(**{"order_id": f"o{n}"} | change).items()} | {"n": n, "known": n != 13}
+            for n, change in enumerate(changes)]
+    layout = ", ".join(f"{name} string" for name in clean.EVENT_FIELDS)
+    events = spark.createDataFrame(rows, f"{layout}, n int, known boolean")
+    raw = events.drop("brand").join(events.select("n", "brand").hint("shuffle_hash"), "n")
+    valid, rejects = clean.transform(raw, ["n"], extra_rules=order_rules(), first="known")
+    expected = clean.valid_orders(clean.tag_orders(raw, ["n"], extra_rules=order_rules(), first="known"))
+    assert sorted(r["order_id"] for r in valid.collect()) == ["o0", "o14", "o5"]
+    assert valid.drop("ingested_at").exceptAll(expected.drop("ingested_at")).count() == 0 and rejects.count() == 12
+    _, _, below = valid._jdf.queryExecution().optimizedPlan().toString().partition("Join")
+    assert "garbage" not in below and all(f"{name}#" in below[below.index("Filter"):] for name in ("known", "quantity", "unit_price"))
+
+
+def test_rules_hold_without_a_flag_and_for_broken_messages(spark, event):
+    from orderloom.operators import clean
+    rows = [{k: str(v) for k, v in event(order_id=key).items()} | {"n": n, "payload": payload}
+            for n, (key, payload) in enumerate([("a", None), ("a", None), ("b", "{"), ("b", None)])]
+    raw = spark.createDataFrame(rows, ", ".join(f"{name} string" for name in clean.EVENT_FIELDS) + ", n int, payload string")
+    valid, rejects = clean.transform(raw, ["n"])
+    assert sorted(r["order_id"] for r in valid.collect()) == ["a", "b"] and rejects.count() == 2
+    flagged = clean.transform(raw.withColumn("known", F.col("n") != 1), ["n"], first="known")
+    assert [sorted(r["order_id"] or "" for r in side.collect()) for side in flagged] == [["a", "b"], ["a", "b"]]
